@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm import avi, chat, linededup, packing, urltree
+from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, toxicity, urltree
 from anchorline.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,17 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = marked.select("doc_id", F.explode("matches").alias("m"))
+    return found.select("doc_id", F.col("m.item_id").alias("item_id"), F.col("m.item_shingles").alias("item_shingles"), F.col("m.shared").alias("shared_shingles"))
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urltree.filter_urls(pages, rules=URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
@@ -46,6 +57,16 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path=_tokenizer_path())
 
 
+def _held_out(remainder: int) -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % remainder == 0
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, learn_from=~_held_out(5)))
+    return scored.select("doc_id", _held_out(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = linededup.dedup_lines(docs, min_docs=10, min_chars=1)
@@ -60,7 +81,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op5_url_filters, op6_packing, op9_line_dedup, op10_media_columns)
+    f.__name__: f for f in (op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op9_line_dedup, op10_media_columns)
 }
 
 ORACLE_SQL: dict[str, str] = {}

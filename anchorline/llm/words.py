@@ -17,6 +17,8 @@ _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Also apart at ASCII punctuation and control characters: runs of letters, digits and all non-ASCII characters.
+_NO_WORD = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
@@ -41,8 +43,8 @@ def _power(base: int, n: int) -> np.ndarray:
 class Words:
     """The words of some rows: ``hashes``, ``offsets`` of each row's first word, and byte places."""
 
-    def __init__(self, data: np.ndarray, row_bytes: np.ndarray, lower: bool):
-        """data: the rows' bytes in one array; row_bytes: len(rows)+1 places where rows begin."""
+    def __init__(self, data: np.ndarray, row_bytes: np.ndarray, lower: bool, letters: bool = False):
+        """data: the rows' bytes in one array; row_bytes: len(rows)+1 places where rows begin; letters: punctuation separates too."""
         n = len(data)
         self.data = data = _LOWER[data] if lower else data
         self.rows = len(row_bytes) - 1
@@ -50,7 +52,7 @@ class Words:
             self.hashes, self.start, self.end = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
             self.offsets = np.zeros(self.rows + 1, np.int64)
             return
-        solid = ~_SPACE[data]
+        solid = ~(_NO_WORD if letters else _SPACE)[data]
         cut = np.zeros(n + 1, bool)
         cut[row_bytes] = True
         first = solid.copy()
@@ -91,13 +93,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, lower: bool, size: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, Words]]:
+def pieces(batch: pa.RecordBatch, column: str, lower: bool, size: int = 2 << 20, letters: bool = False) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """Slices of a batch with about ``size`` bytes of text each (one row at least), with their words."""
     data, at = text_bytes(batch.column(batch.schema.get_field_index(column)))
     i = 0
     while i < batch.num_rows:
         j = max(i + 1, int(np.searchsorted(at, at[i] + size, "right")) - 1)
-        yield batch.slice(i, j - i), Words(data[at[i] : at[j]], at[i : j + 1] - at[i], lower)
+        yield batch.slice(i, j - i), Words(data[at[i] : at[j]], at[i : j + 1] - at[i], lower, letters)
         i = j
 
 
