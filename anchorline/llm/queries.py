@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, toxicity, urltree
+from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, substrings, toxicity, urltree
 from anchorline.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -67,6 +67,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = linededup.dedup_lines(docs, min_docs=10, min_chars=1)
@@ -81,7 +86,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op9_line_dedup, op10_media_columns)
+    f.__name__: f for f in (op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op8_substring_dedup, op9_line_dedup, op10_media_columns)
 }
 
 ORACLE_SQL: dict[str, str] = {}
