@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, substrings, toxicity, urltree
+from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, pitman_yor, substrings, toxicity, urltree
 from anchorline.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +20,15 @@ def _tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _remainder(n: int) -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pitman_yor.score(table(spark, sf_dir, "documents"), train=_remainder(7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -57,14 +66,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path=_tokenizer_path())
 
 
-def _held_out(remainder: int) -> Column:
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % remainder == 0
-
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels, learn_from=~_held_out(5)))
-    return scored.select("doc_id", _held_out(5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, learn_from=_remainder(5) != 0))
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +92,54 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op8_substring_dedup, op9_line_dedup, op10_media_columns)
+    f.__name__: f for f in (op1_lm_scoring, op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op8_substring_dedup, op9_line_dedup, op10_media_columns)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_LETTERS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+
+def _five_words(source: str) -> str:
+    return f"SELECT DISTINCT id, array_to_string(w[j:j+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS j FROM {source} WHERE len(w) > 0)"
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM documents),
+i AS (SELECT item_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM benchmark),
+ds AS ({_five_words("d")}), bs AS ({_five_words("i")}),
+n AS (SELECT id, count(*) AS n FROM bs GROUP BY id)
+SELECT ds.id AS doc_id, bs.id AS item_id, max(n.n) AS item_shingles, count(*) AS shared_shingles
+FROM ds JOIN bs USING (s) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id HAVING count(*) >= 0.8 * max(n.n)
+""",
+    "op4_minhash_near_dedup": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORDS}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[j:j+1], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS j FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+""",
+    "op8_substring_dedup": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents),
+x AS (SELECT doc_id, j, md5(array_to_string(w[j:j+12], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS j FROM d WHERE len(w) >= 13)),
+f AS (SELECT doc_id, j FROM (SELECT doc_id, j, min(doc_id) OVER (PARTITION BY s) AS m FROM x) WHERE m < doc_id),
+gone AS (SELECT DISTINCT doc_id, j + k AS p FROM f, range(0, 13) t(k)),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS kept FROM p ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""",
+    "op9_line_dedup": f"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(a) + 1)) AS p, unnest(a) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT doc_id, p, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c ON k.key = c.key GROUP BY doc_id
+""",
+}
