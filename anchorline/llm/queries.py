@@ -117,8 +117,8 @@ FROM ds JOIN bs USING (s) JOIN n ON n.id = bs.id GROUP BY ds.id, bs.id HAVING co
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_WORDS}) AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[j:j+1], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS j FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-link AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+twice AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM twice JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
 edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)

@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
-        a = np.full(max(n, 1 << 20), base, U)
+        a = np.full(max(n, 1 << 19), base, U)
         a[0] = 1
         have = _powers[base] = np.multiply.accumulate(a)
     return have
@@ -61,7 +61,11 @@ class Words:
         last[:-1] &= ~solid[1:] | cut[1:n]
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
         sums = np.zeros(n + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * _power(_BASE, n)[:n], out=sums[1:])
+        terms = sums[1:]
+        terms[:] = data
+        terms += U(1)
+        terms *= _power(_BASE, n)[:n]
+        np.cumsum(terms, out=terms)
         length = (self.end - self.start).astype(U)
         self.hashes = mix((sums[self.end] - sums[self.start]) * _power(_INVERSE, n)[self.start] + length * U(0xD6E8FEB86659FD93))
         self.offsets = np.searchsorted(self.start, row_bytes)
@@ -93,7 +97,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, column: str, lower: bool, size: int = 2 << 20, letters: bool = False) -> Iterator[tuple[pa.RecordBatch, Words]]:
+def pieces(batch: pa.RecordBatch, column: str, lower: bool, size: int = 1 << 19, letters: bool = False) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """Slices of a batch with about ``size`` bytes of text each (one row at least), with their words."""
     data, at = text_bytes(batch.column(batch.schema.get_field_index(column)))
     i = 0
