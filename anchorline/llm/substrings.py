@@ -111,7 +111,7 @@ def repeats(docs: DataFrame, window: int, groups: int, frequent: dict[int, np.nd
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, words in pieces(b, "text", lower=False, size=6 << 20):
+            for part, words in pieces(b, "text", lower=False, size=3 << 20):
                 group, key = grouped(words, window, groups, shared.value)
                 doc = part.column(0).to_numpy()[words.row_of()[run_starts(words, window)]]
                 order = np.argsort(group, kind="stable")
@@ -136,12 +136,22 @@ def repeats(docs: DataFrame, window: int, groups: int, frequent: dict[int, np.nd
         key, doc = key[order], doc[order]
         new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])) if len(key) else np.zeros(0, bool)
         key, doc = key[new], doc[new]
-        names, at = np.unique(doc, return_index=True)
-        return pa.table({"id": pa.array(names), "keys": pa.ListArray.from_arrays(pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array(key))})
+        # Back in blocks of documents, so that a group sends one row for each block and not one for each document.
+        block = (mix(doc.view(U)) % U(groups)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        names, at = np.unique(block[order], return_index=True)
+        offsets = pa.array(np.append(at, len(doc)).astype(np.int32))
+        return pa.table({"block": pa.array(names), "ids": pa.ListArray.from_arrays(offsets, pa.array(doc[order])), "keys": pa.ListArray.from_arrays(offsets, pa.array(key[order]))})
+
+    def gather(t: pa.Table) -> pa.Table:
+        doc, key = (t[c].combine_chunks().flatten().to_numpy() for c in ("ids", "keys"))
+        order = np.argsort(doc, kind="stable")
+        names, at = np.unique(doc[order], return_index=True)
+        return pa.table({"id": pa.array(names), "keys": pa.ListArray.from_arrays(pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array(key[order]))})
 
     sent = docs.mapInArrow(suffixes, "grp int, keys array<bigint>, docs array<bigint>")
-    answered = sent.groupBy("grp").applyInArrow(subtree, "id long, keys array<bigint>")
-    return answered.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    answered = sent.groupBy("grp").applyInArrow(subtree, "block int, ids array<bigint>, keys array<bigint>")
+    return answered.groupBy("block").applyInArrow(gather, "id long, keys array<bigint>")
 
 
 def _cut(df: DataFrame, kept: list[str], id_col: str, text_col: str, window: int, firsts: dict[int, int]) -> DataFrame:
