@@ -83,13 +83,16 @@ def decode_frame(frame: bytes) -> bytes:
 
 
 def samples(payload: bytes) -> np.ndarray:
-    """8-bit samples of whole frames: (frames, blocks, 8, 8). A byte under 128 is the coefficient byte - 255."""
+    """8-bit samples of whole frames: (frames, blocks, 8, 8), at a quarter of full contrast so that few are clipped.
+
+    A byte under 128 is the coefficient byte - 255.
+    """
     v = np.frombuffer(payload, np.uint8).astype(np.float32).reshape(-1, BLOCK)
     v = np.where(v < 128, v - 255, v)
     planes = np.empty_like(v)
     planes[:, ZIGZAG] = v
     out = _COSINES @ planes.reshape(-1, 8, 8) @ _COSINES.T
-    return np.clip(out + 128, 0, 255).astype(np.uint8).reshape(-1, PER_FRAME, 8, 8)
+    return np.clip(out / 4 + 128, 0, 255).astype(np.uint8).reshape(-1, PER_FRAME, 8, 8)
 
 
 def _chunk(name: bytes, body: bytes) -> bytes:
@@ -141,7 +144,7 @@ def read_avi(data: bytes) -> tuple[list[bytes], int]:
     return frames, length
 
 
-def shots(histograms: np.ndarray, k: float = 2.0, floor: float = 0.25) -> list[tuple[int, int]]:
+def shots(histograms: np.ndarray, k: float = 2.0, floor: float = 0.1) -> list[tuple[int, int]]:
     """(first, past last) frame of each shot. histograms: frames x bins, each row summing to 1."""
     n = len(histograms)
     d = np.abs(np.diff(histograms, axis=0)).sum(axis=1) / 2
@@ -180,7 +183,7 @@ def encode_media(df: DataFrame, *, text_col: str = "text", out_col: str = "media
 CLIPS = "array<struct<start_s:double,end_s:double,n_frames:int>>"
 
 
-def read_media(df: DataFrame, *, media_col: str = "media", k: float = 2.0, floor: float = 0.25) -> DataFrame:
+def read_media(df: DataFrame, *, media_col: str = "media", k: float = 2.0, floor: float = 0.1) -> DataFrame:
     """The other columns plus what is read back: payload size, hash and tail, the file's size and hash, frames and timed clips."""
     kept = [c for c in df.columns if c != media_col]
     schema = f"payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, clips {CLIPS}"
