@@ -104,7 +104,33 @@ def _five_words(source: str) -> str:
     return f"SELECT DISTINCT id, array_to_string(w[j:j+4], ' ') AS s FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS j FROM {source} WHERE len(w) > 0)"
 
 
+_RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES)
+_ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_formatting": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, i, ['user', 'assistant'][i + 1], '</s>[INST] ok [/INST]' FROM range(2) t(i))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) + length('<|turn|><|body|><|end|>')) AS BIGINT) AS formatted_chars FROM c GROUP BY conv_id
+""",
+    "op5_url_filters": f"""
+WITH rules(domain, start, rule, verdict) AS (VALUES {_RULES}),
+u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS said FROM u JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start) GROUP BY page_id),
+b AS (SELECT u.*, f.rule, f.said, list_transform(string_split(path, '/'), lambda s: CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{{16,}}$') THEN '{{h}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END) AS raw FROM u LEFT JOIN f USING (page_id)),
+leaf AS (SELECT host, raw, count(*) AS pages, count(said) AS labelled, count(*) FILTER (WHERE said = 'block') AS bad FROM b GROUP BY host, raw),
+edge AS (SELECT host, raw, pages, pos, raw[pos] AS segment, raw[1:pos - 1] AS prefix FROM (SELECT *, unnest(range(1, len(raw) + 1)) AS pos FROM leaf)),
+node AS (SELECT host, prefix, segment, sum(pages) AS pages FROM edge GROUP BY host, prefix, segment),
+wide AS (SELECT host, prefix FROM node GROUP BY host, prefix HAVING count(*) >= 16 AND sum(pages) < 4 * count(*)),
+gen AS (SELECT e.host, e.raw, list(CASE WHEN w.host IS NULL THEN segment ELSE '*' END ORDER BY pos) AS t FROM edge e LEFT JOIN wide w ON w.host = e.host AND w.prefix = e.prefix GROUP BY e.host, e.raw),
+named AS (SELECT host, raw, array_to_string(t, '/') AS template, array_to_string(t[1:len(t) - 1], '/') AS branch FROM gen),
+tpl AS (SELECT host, branch, template, sum(labelled) AS n, sum(bad) AS bad FROM leaf JOIN named USING (host, raw) GROUP BY host, branch, template),
+both2 AS (SELECT *, sum(n) OVER (PARTITION BY host, branch) AS bn, sum(bad) OVER (PARTITION BY host, branch) AS bb FROM tpl),
+m AS (SELECT *, n > 0 AND abs(bad / nullif(n, 0) - bb / nullif(bn, 0)) <= 2.0 * sqrt((bb / nullif(bn, 0)) * (1 - bb / nullif(bn, 0)) / nullif(n, 0) + 1e-9) AS joined FROM both2),
+j AS (SELECT host, template, (CASE WHEN joined THEN bb ELSE bad END + 2.0::DOUBLE) / (CASE WHEN joined THEN bn ELSE n END + 4.0::DOUBLE) AS purity FROM m)
+SELECT page_id, host, path, rule, template, purity, coalesce(said, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict FROM b JOIN named USING (host, raw) JOIN j USING (host, template)
+""",
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM documents),
 i AS (SELECT item_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM benchmark),
