@@ -12,17 +12,39 @@ empty result; other columns pass through untouched and may have any name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import SPACES, ascii_lower
+from anchorline.llm.common import bound_batches
+
+_ID, _ROW, _LINES, _DROP = ("__line_doc", "__line_row", "__line_lines", "__line_drop")
+
+
+def line_keys(text: str, min_chars: int) -> list[bytes | None]:
+    """128 bits of each normalised line: no ASCII white space at its ends, A-Z lower-cased; None if too short."""
+    out: list[bytes | None] = []
+    for line in text.encode().split(b"\n"):
+        key = line.strip(b" \t\n\x0b\x0c\r").lower()
+        long = len(key) >= 4 * min_chars or len(key.decode()) >= min_chars
+        out.append(hashlib.md5(key, usedforsecurity=False).digest() if long else None)
+    return out
+
 
-_ID, _TEXT, _ROW, _LINES, _DROP = ("__line_doc", "__line_text", "__line_row", "__line_lines", "__line_drop")
+def _keyed(base: DataFrame, min_chars: int) -> DataFrame:
+    """(document, row, pos, h) for every line that is long enough."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [line_keys(x or "", min_chars) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.binary()))], [_ID, _ROW, "keys"])
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII white space at its ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(SPACES)))
+    kind = base.schema[_ID].dataType.simpleString()
+    lists = base.mapInArrow(run, f"{_ID} {kind}, {_ROW} binary, keys array<binary>")
+    return lists.select(_ID, _ROW, F.posexplode("keys").alias("pos", "h")).where(F.col("h").isNotNull())
 
 
 def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -35,8 +57,8 @@ def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     # Rows are matched by a hash of id and text: equal rows have equal answers.
     row = F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text)))
     base = df.select(*kept, row.alias(_ROW), F.split(text, "\n").alias(_LINES))
-    lines = base.select(F.col(id_col).alias(_ID), _ROW, F.posexplode(_LINES).alias("pos", "line")).select(_ID, _ROW, "pos", line_key(F.col("line")).alias("key"))
-    keyed = lines.where(F.char_length("key") >= min_chars).select(_ID, _ROW, "pos", F.unhex(F.md5("key")).alias("h"))
+    bound_batches(df.sparkSession, 1000, 4)
+    keyed = _keyed(df.select(F.col(id_col).alias(_ID), row.alias(_ROW), F.col(text_col)), min_chars)
     common = keyed.select("h", _ID).distinct().groupBy("h").count().where(F.col("count") >= min_docs).select("h")
     drops = keyed.join(common, "h").groupBy(_ROW).agg(F.collect_set("pos").alias(_DROP))
     joined = base.join(drops, _ROW, "left")
