@@ -9,9 +9,12 @@ register-wise maxima. Classes that agree in all registers of a band meet in a bu
 Buckets are not expanded into pairs. In each round one class of every component of a
 bucket is compared with one of the bucket's largest component; links found join the
 components. Pairs are estimated jointly from both sketches by maximum likelihood and
-what may reach the threshold is decided on the full sets. When rounds have left few
-pairs of different components in common buckets, all of these are compared, so that
-every candidate pair is either inside one component or has been decided exactly.
+what may reach the threshold is decided on the full sets. After the rounds, each class
+outside its bucket's largest component meets all classes of other components there: a
+pair comes out of that join once, and only if sizes and odd sketches (2,048 parity bits
+of the sets, from which the number of differing shingles is known closely) leave the
+threshold within reach. So every candidate pair is either inside one component or has
+been decided.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and
 are linked with nothing; with fewer than ``k`` words the whole sequence is the one
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anchorline.llm.common import bound_batches, stored
@@ -36,6 +39,8 @@ from anchorline.llm.words import U, mix, pieces, shingle_sets
 LOG_BASE, RATE, TOP = float(np.log(1.001)), 20.0, 65535
 #: Ids that may be broadcast: a table of at most so many rows of 24 bytes.
 BROADCAST_ROWS = 1_000_000
+#: Bits of the odd sketch of a class that shares a bucket.
+ODD_BITS = 2048
 
 
 def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +77,27 @@ def sketches(sets: list[np.ndarray], registers: int) -> list[bytes | None]:
     return [next(rows) if len(s) else None for s in sets]
 
 
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set ODD_BITS bits as 64-bit words: whether an odd number of its shingles falls on a bit."""
+    at = np.concatenate([(mix(s ^ U(0xC2B2AE3D27D4EB4F)) & U(ODD_BITS - 1)).astype(np.int64) + i * ODD_BITS for i, s in enumerate(sets)])
+    odd = (np.bincount(at, minlength=len(sets) * ODD_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sets), -1)
+
+
+def odd_limit(total: Column, percent: int) -> Column:
+    """The most bits in which two sets of ``total`` shingles together differ if their similarity is ``percent``.
+
+    Such sets differ in ``d`` shingles at most; these fall on ODD_BITS bits, and the number
+    of odd ones has this mean and variance. Five deviations and two bits are added.
+    """
+    n = float(ODD_BITS)
+    d = F.floor(total * (100 - percent) / (100 + percent))
+    q, r = F.pow(F.lit(1 - 2 / n), d), F.pow(F.lit(1 - 4 / n), d)
+    p = (1 - q) / 2
+    spread = n * p * (1 - p) + n * (n - 1) * ((1 - 2 * q + r) / 4 - p * p)
+    return n * p + 5 * F.sqrt(F.greatest(spread, F.lit(0.0))) + 2
+
+
 def merge_sketches(a: bytes, b: bytes) -> bytes:
     """The sketch of the union."""
     return np.maximum(np.frombuffer(a, ">u2"), np.frombuffer(b, ">u2")).astype(">u2").tobytes()
@@ -103,22 +129,24 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, k: int, registers: in
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(fp, n, sketch, shingles) of the given classes, read again from one document of each."""
+    """(fp, n, sketch, shingles, odd) of the given classes, read again from one document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, words in pieces(b, "text", lower=True):
-                sets = shingle_sets(words, k)
-                yield pa.RecordBatch.from_arrays([pa.array(fingerprints(sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["fp", "shingles"])
+                sets = [s for s in shingle_sets(words, k) if len(s)]
+                if sets:
+                    made = [pa.array(fingerprints(sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(list(odd_sketches(sets)), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(made, ["fp", "shingles", "odd"])
 
     ids = stored(classes.select("first").distinct())
     small = ids.count() <= BROADCAST_ROWS
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     chosen = chosen.join(F.broadcast(ids) if small else ids, chosen["id"].eqNullSafe(ids["first"]), "left_semi")
-    sets = chosen.select("text").mapInArrow(run, "fp binary, shingles array<bigint>")
+    sets = chosen.select("text").mapInArrow(run, "fp binary, shingles array<bigint>, odd array<bigint>")
     own = sets.join(classes.select("fp", "n", "sketch"), "fp")
     # Several documents may share the id of a class's first one, or its set: one row of each class stays.
-    return own.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"))
+    return own.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"), F.first("odd").alias("odd"))
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -146,6 +174,23 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b", both.alias("both"), (F.col("na") + F.col("nb") - both).alias("any")).where(F.col("both") * 100 >= F.col("any") * percent).select("a", "b")
 
 
+def _across(open_: DataFrame, members: DataFrame, owner: DataFrame, sets: DataFrame, buckets: Column, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket, each once, whose sizes and odd sketches allow the threshold."""
+    words = range(ODD_BITS // 64)
+    facts = sets.select("fp", "n", buckets.alias("all"), *[F.get("odd", F.lit(i)).alias(f"p{i}") for i in words])
+    most = open_.where("comp = most.comp").select("bucket", F.col("comp").alias("top"))
+    every = members.join(owner, "fp").join(facts, "fp").join(most, "bucket")
+    right = every.select("bucket", *[F.col(c).alias(f"r_{c}") for c in every.columns if c not in ("bucket", "top", "band")])
+    apart = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"r_p{i}"))) for i in words[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("r_p0"))))
+    near = (F.least("n", "r_n") * 100 >= F.greatest("n", "r_n") * percent) & (apart <= odd_limit(F.col("n") + F.col("r_n"), percent))
+    # Two classes outside the largest component meet from either side: one side is enough.
+    once = (F.col("r_comp") == F.col("top")) | (F.col("fp") < F.col("r_fp"))
+    first = ~F.exists(F.slice(F.arrays_zip(F.col("all").alias("x"), F.col("r_all").alias("y")), F.lit(1), F.col("band")), lambda z: z["x"] == z["y"])
+    left = every.where("comp != top").withColumnRenamed("bucket", "l_bucket")
+    met = left.join(right, (F.col("l_bucket") == F.col("bucket")) & (F.col("comp") != F.col("r_comp")) & once & near & first)
+    return met.select(F.least("fp", "r_fp").alias("a"), F.greatest("fp", "r_fp").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -156,7 +201,7 @@ def near_duplicates(
     registers: int = 128,
     band: int = 4,
     margin: float = 0.2,
-    rounds: int = 6,
+    rounds: int = 2,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -166,43 +211,33 @@ def near_duplicates(
     classes = stored(classes)
     # A bucket is a band's number and registers, as one hash: a clash only costs a comparison.
     bands = F.transform(F.sequence(F.lit(0), F.lit(registers // band - 1)), lambda j: F.xxhash64(j, F.substring(F.col("sketch"), j * (2 * band) + 1, F.lit(2 * band))))
-    places = classes.select("fp", F.explode(bands).alias("bucket"))
+    places = classes.select("fp", F.posexplode(bands).alias("band", "bucket"))
     shared = places.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = stored(places.join(shared, "bucket").select("bucket", "fp"))
+    members = stored(places.join(shared, "bucket").select("bucket", "band", "fp"))
     near = classes.join(members.select("fp").distinct(), "fp")
     sets = stored(_full_sets(docs, near.select("fp", "first", "n", "sketch"), id_col, text_col, k))
-    owner = stored(sets.select("fp", F.col("fp").alias("comp")))
-    few = 4 * owner.count() + 20_000
+    owner = sets.select("fp", F.col("fp").alias("comp"))
 
-    tested: DataFrame | None = None
     for turn in range(rounds + 1):
-        at = members.join(owner, "fp")
         # The first round has one pivot for a group in all its buckets; later ones a fresh one for each bucket.
-        order = F.xxhash64("fp", F.lit(turn)) if turn == 0 else F.xxhash64("fp", "bucket", F.lit(turn))
-        groups = at.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(order.alias("o"), "fp")).alias("one"))
-        buckets = groups.groupBy("bucket").agg(F.max(F.struct("m", "one", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"), F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares")).where("comps > 1")
-        open_ = stored(groups.join(buckets, "bucket"))
-        left = open_.where("comp = most.comp").agg(F.sum(F.expr("(all * all - squares) div 2"))).first()[0] or 0
-        if not left:
-            break
-        last = left <= few or turn == rounds
-        if last:
-            mine = at.join(open_.select("bucket").distinct(), "bucket")
-            other = mine.select("bucket", F.col("fp").alias("fp2"), F.col("comp").alias("comp2"))
-            found = mine.join(other, "bucket").where("comp < comp2").select("fp", "fp2")
+        order = F.xxhash64("fp") if turn == 0 else F.xxhash64("fp", "bucket", F.lit(turn))
+        one = F.struct(order.alias("o"), "fp")
+        if turn:
+            groups = members.join(owner, "fp").groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m"), F.min(one).alias("one"))
+        else:
+            groups = members.select("bucket", F.col("fp").alias("comp"), F.lit(1).cast("bigint").alias("m"), one.alias("one"))
+        largest = F.max(F.struct("m", (-F.col("one.o")).alias("o"), "one", "comp")).alias("most")
+        buckets = groups.groupBy("bucket").agg(largest, F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
+        open_ = groups.join(buckets, "bucket")
+        if turn < rounds:
+            found = open_.where("comp != most.comp").select(F.col("one.fp").alias("x"), F.col("most.one.fp").alias("y"))
+            pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         else:
-            found = open_.where("comp != most.comp").select(F.col("one.fp").alias("fp"), F.col("most.one.fp").alias("fp2"))
-        pairs = found.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
-        links = stored(_links(stored(_plausible(pairs, sets, percent / 100 - margin)), sets, percent))
-        tested = pairs if tested is None else tested.unionAll(pairs)
+            pairs = _across(stored(open_.select("bucket", "comp", "most")), members, owner, sets, bands, percent)
+        links = stored(_links(stored(_plausible(stored(pairs), sets, percent / 100 - margin)), sets, percent))
         to_a, to_b = owner.select(F.col("fp").alias("a"), F.col("comp").alias("ca")), owner.select(F.col("fp").alias("b"), F.col("comp").alias("cb"))
         root = components(links.join(to_a, "a").join(to_b, "b"), "ca", "cb")
         owner = stored(owner.join(root.withColumnRenamed("node", "comp"), "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp")))
-        if last:
-            break
 
     named = classes.select("fp", "first").join(owner, "fp")
     names = named.groupBy("comp").agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("size")).where("size > 1")
