@@ -79,7 +79,7 @@ def q_prf_at_collar(spark: SparkSession, sf_dir: str) -> DataFrame:
     tp = _matches(spark, sf_dir).groupBy("clip").agg(F.countDistinct("g").alias("tp"))
     n = timeline(spark, sf_dir).groupBy("clip").agg(F.count_if(F.col("kind") == "audio_onset").alias("np"), F.count_if(F.col("kind") == "sed_event").alias("ng"))
     hits = F.coalesce("tp", F.lit(0).cast("bigint"))
-    ratio = lambda a, b: F.round(F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0)), 6)
+    ratio = lambda a, b: F.round(F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0)), 9)
     return n.join(tp, "clip", "left").select("clip", hits.alias("tp"), ratio(hits, F.col("np")).alias("precision"), ratio(hits, F.col("ng")).alias("recall"), ratio(2 * hits, F.col("np") + F.col("ng")).alias("f1"))
 
 

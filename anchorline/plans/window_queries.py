@@ -286,8 +286,8 @@ def q_next_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {TL}, b AS (SELECT clip, t_ms // 600000 AS i, max(CASE WHEN kind = 'audio_onset' THEN strength ELSE 0 END) AS o, max(CASE WHEN kind = 'motion_spike' THEN strength ELSE 0 END) AS m FROM tl GROUP BY clip, t_ms // 600000),
-l AS (SELECT unnest(range(-6, 7)) AS lag), j AS (SELECT x.clip, l.lag, count(*) AS n, corr(x.o, y.m) AS r FROM b x CROSS JOIN l JOIN b y ON y.clip = x.clip AND y.i = x.i + l.lag GROUP BY x.clip, l.lag),
-k AS (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY r DESC, lag) AS rn FROM j WHERE n >= 8)
+l AS (SELECT unnest(range(-6, 7)) AS lag), j AS (SELECT x.clip, l.lag, count(*) AS n, covar_pop(x.o, y.m) / nullif(stddev_pop(x.o) * stddev_pop(y.m), 0) AS r FROM b x CROSS JOIN l JOIN b y ON y.clip = x.clip AND y.i = x.i + l.lag GROUP BY x.clip, l.lag),
+k AS (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY r DESC, lag) AS rn FROM j WHERE n >= 8 AND r IS NOT NULL)
 SELECT clip, CAST(lag AS BIGINT) * 600000 AS offset_ms, round(r, 5) AS corr FROM k WHERE rn = 1
 """)
 def q_lag_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +295,7 @@ def q_lag_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = timeline(spark, sf_dir).groupBy("clip", F.floor(F.col("t_ms") / 600_000).alias("i")).agg(most("audio_onset").alias("o"), most("motion_spike").alias("m"))
     # Each bucket meets its thirteen lagged partners by an equi-join.
     x = b.select("clip", "o", "i", F.explode(F.sequence(F.lit(-6), F.lit(6))).alias("lag")).select("clip", "o", "lag", (F.col("i") + F.col("lag")).alias("i"))
-    j = x.join(b.select("clip", "i", "m"), ["clip", "i"]).groupBy("clip", "lag").agg(F.count(F.lit(1)).alias("n"), F.corr("o", "m").alias("r")).where("n >= 8")
+    j = x.join(b.select("clip", "i", "m"), ["clip", "i"]).groupBy("clip", "lag").agg(F.count(F.lit(1)).alias("n"), F.try_divide(F.covar_pop("o", "m"), F.stddev_pop("o") * F.stddev_pop("m")).alias("r")).where("n >= 8 AND r IS NOT NULL")
     best = j.groupBy("clip").agg(F.max_by(F.struct("lag", "r"), F.struct("r", -F.col("lag"))).alias("x"))
     return best.select("clip", (F.col("x.lag") * 600_000).cast("bigint").alias("offset_ms"), F.round("x.r", 5).alias("corr"))
 
