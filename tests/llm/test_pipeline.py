@@ -10,7 +10,7 @@ from tests.llm.test_near import brute, letters
 
 def test_stages(spark, edge_docs, no_docs, tmp_path):
     """Each stage on edge cases, against brute force where it is exact."""
-    rude = spark.createDataFrame([(i, sentence(i, 40) + (" vile idiot" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(100, 400)], "doc_id long, text string, toxic int")
+    rude = spark.createDataFrame([(i, sentence(i, 40) + (" vile idiot" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(100, 400)] + [(i, f"{chr(97 + i % 26)} \u00e9{i % 7} {sentence(i, i % 4)}", 0) for i in range(400, 500)], "doc_id long, text string, toxic int")
     folder = str(tmp_path)
     rude.select("doc_id", "toxic").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, sentence(3, 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
