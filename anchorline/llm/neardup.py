@@ -149,31 +149,27 @@ def _full_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     return own.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"), F.first("odd").alias("odd"))
 
 
-def _plausible(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Pairs whose estimated similarity is ``least`` or more."""
-    a, b = (sets.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, margin: float) -> DataFrame:
+    """Pairs whose full sets reach the threshold; sets are compared where the joint estimate comes within ``margin`` of it."""
+    a, b = (sets.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("shingles").alias(f"x{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            column = lambda c: t.column(t.schema.get_field_index(c))
-            ok = np.zeros(t.num_rows, bool)
-            for i in range(0, t.num_rows, 1000):
-                registers = [np.frombuffer(b"".join(column(c).slice(i, 1000).to_pylist()), ">u2").astype(np.int32) for c in ("sa", "sb")]
-                sizes = [column(c).slice(i, 1000).to_numpy().astype(float) for c in ("na", "nb")]
-                ok[i : i + 1000] = estimate(*(r.reshape(len(sizes[0]), -1) for r in registers), *sizes) >= least
-            yield pa.RecordBatch.from_arrays([column("a"), column("b")], ["a", "b"]).filter(pa.array(ok))
+            column = lambda c: t.column(t.schema.get_field_index(c))  # noqa: E731, B023
+            n = t.num_rows
+            if not n:
+                continue
+            registers = [np.frombuffer(b"".join(column(c).to_pylist()), ">u2").astype(np.int32).reshape(n, -1) for c in ("sa", "sb")]
+            sizes = [column(c).to_numpy() for c in ("na", "nb")]
+            linked = np.zeros(n, bool)
+            for i in np.flatnonzero(estimate(*registers, *(x.astype(float) for x in sizes)) >= percent / 100 - margin).tolist():
+                both = len(np.intersect1d(column("xa")[i].values.to_numpy(), column("xb")[i].values.to_numpy(), assume_unique=True))
+                linked[i] = both * 100 >= (int(sizes[0][i]) + int(sizes[1][i]) - both) * percent
+            yield pa.RecordBatch.from_arrays([column("a"), column("b")], ["a", "b"]).filter(pa.array(linked))
 
     return pairs.join(b, "b").join(a, "a").mapInArrow(run, "a binary, b binary")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of which the full sets' similarity is ``percent`` hundredths or more."""
-    a, b = (sets.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    near = pairs.join(b, "b").join(a, "a")
-    both = F.size(F.array_intersect("sa", "sb"))
-    return near.select("a", "b", both.alias("both"), (F.col("na") + F.col("nb") - both).alias("any")).where(F.col("both") * 100 >= F.col("any") * percent).select("a", "b")
-
-
 def _across(open_: DataFrame, members: DataFrame, owner: DataFrame, sets: DataFrame, buckets: Column, percent: int) -> DataFrame:
     """Pairs (a, b) of different components in one bucket, each once, whose sizes and odd sketches allow the threshold."""
     words = range(ODD_BITS // 64)
@@ -234,7 +230,7 @@ def near_duplicates(
             pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         else:
             pairs = _across(stored(open_.select("bucket", "comp", "most")), members, owner, sets, bands, percent)
-        links = stored(_links(stored(_plausible(stored(pairs), sets, percent / 100 - margin)), sets, percent))
+        links = stored(_links(stored(pairs), sets, percent, margin))
         to_a, to_b = owner.select(F.col("fp").alias("a"), F.col("comp").alias("ca")), owner.select(F.col("fp").alias("b"), F.col("comp").alias("cb"))
         root = components(links.join(to_a, "a").join(to_b, "b"), "ca", "cb")
         owner = stored(owner.join(root.withColumnRenamed("node", "comp"), "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp")))
