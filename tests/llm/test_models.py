@@ -43,6 +43,16 @@ def test_score_beats_single_words_and_is_a_distribution(spark):
     assert out[0] > 0.75 * out[1]
 
 
+def test_rare_contexts_are_seated(spark):
+    """A context seen once among many tokens tells the words after it; their order counts, not only their number."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 60))) for i in range(300)]
+    rows += [(300, "alpha beta gamma delta"), (301, "alpha beta gamma delta"), (302, "gamma alpha delta beta")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.score for r in pitman_yor.score(df, train=F.col("doc_id") <= 300).where("NOT train").collect()}
+    assert out[301] > out[302] + 2
+
+
 def test_seating_sums():
     """Tables of large seatings agree with seating customer by customer."""
     rng = np.random.default_rng(5)
