@@ -1,7 +1,9 @@
 """Toxicity: class-conditional Kneser-Ney models of expressions, compared by likelihood.
 
 An expression (a word of letters, A-Z lower-cased) is a sequence of letters; a class's
-model predicts each letter from the whole beginning of the expression. Discounted mass
+model predicts each letter from the whole beginning of the expression. A run longer than
+the model's depth, as texts without ASCII separators are, is an expression from each of
+its characters on, so that every byte is read, whatever precedes it. Discounted mass
 goes to the same beginning's counts over both classes, and from there to letter pairs
 by continuation counts: expressions too rare to speak for a class thus get the same
 likelihood in either. The log-likelihood ratio of each expression, and its mean over a
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 from anchorline.llm.common import bound_batches
 from anchorline.llm.words import U, Words, mix, pieces
 
-#: Letters (bytes) of an expression that are modelled, its end included.
+#: Letters (bytes) that are modelled from one beginning, the end included; longer runs begin anew at each character.
 DEPTH = 14
 _STEP = U(0x9E3779B97F4A7C55)
 
@@ -55,6 +57,31 @@ def _beginnings(letters: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarr
         alive = alive & (letters[:, j] > 0)
 
 
+class Expressions:
+    """The expressions of some rows in row order: byte places, the hash of each one's letters, and offsets of rows."""
+
+    def __init__(self, words: Words):
+        self.data, self.rows = words.data, words.rows
+        row, size = words.row_of(), words.end - words.start
+        long = np.flatnonzero(size >= DEPTH)
+        within = np.arange(size[long].sum()) - np.repeat(np.cumsum(size[long]) - size[long], size[long])
+        start = np.repeat(words.start[long], size[long]) + within
+        begins = (within > 0) & ((self.data[start] & 0xC0) != 0x80) if len(start) else np.zeros(0, bool)
+        of = np.repeat(long, size[long])[begins]
+        row = np.concatenate([row, row[of]])
+        order = np.argsort(row, kind="stable")
+        self.row = row[order]
+        self.start, self.end = np.concatenate([words.start, start[begins]])[order], np.concatenate([words.end, words.end[of]])[order]
+        self.offsets = np.searchsorted(self.row, np.arange(self.rows + 1))
+        self.hashes = np.full(len(self.row), U(1))
+        for _, self.hashes, _ in _beginnings(_letters(self.data, self.start, self.end)):
+            pass
+
+    def text(self, i: int) -> bytes:
+        """The modelled bytes of expression i."""
+        return self.data[self.start[i] : min(self.end[i], self.start[i] + DEPTH)].tobytes()
+
+
 @dataclass
 class Model:
     """Nodes of beginnings, sorted by hash: own mass a and left-over share b, for toxic, ordinary and both."""
@@ -87,7 +114,8 @@ class Model:
         return out
 
     def features(self, words: Words) -> np.ndarray:
-        """rows x (1, mean ratio, three largest ratios, log of the number of words)."""
+        """rows x (1, mean ratio, three largest ratios, log of the number of expressions)."""
+        words = Expressions(words)
         keys, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
         ratio = self.ratios(_letters(words.data, words.start[first], words.end[first]))[place] if len(keys) else np.zeros(0)
         out = np.zeros((words.rows, 6))
@@ -146,8 +174,7 @@ def fit_counts(words: list[bytes], counts: np.ndarray) -> Model:
         np.add.at(pairs, (p[alive][first], x[alive][first]), 1)
     single = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 128)
     pairs = (np.maximum(pairs - 0.75, 0) + (0.75 * (pairs > 0).sum(axis=1, keepdims=True) + 1e-3) * single) / (pairs.sum(axis=1, keepdims=True) + 1e-3)
-    keep = own[:, 2] > 1  # what was seen once says nothing of a class
-    return Model(node[keep], share[keep].astype(np.float32), left[keep].astype(np.float32), root_left, pairs.astype(np.float32), np.zeros(6))
+    return Model(node, share.astype(np.float32), left.astype(np.float32), root_left, pairs.astype(np.float32), np.zeros(6))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 60) -> np.ndarray:
@@ -177,9 +204,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, words in pieces(b, "text", lower=True, letters=True):
-                y = np.array(part.column(0).to_pylist())[words.row_of()]
+                words = Expressions(words)
+                y = np.array(part.column(0).to_pylist())[words.row]
                 keys, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
-                made = [pa.array([words.text(i)[:DEPTH] for i in first.tolist()], pa.binary())]
+                made = [pa.array([words.text(i) for i in first.tolist()], pa.binary())]
                 for c in (1, 0):
                     made.append(pa.array(np.bincount(place, y == c, len(keys)).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(made, ["word", "toxic", "ordinary"])

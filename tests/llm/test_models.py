@@ -102,3 +102,16 @@ def test_toxicity(spark, edge_docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
     assert toxicity.fit(df, labels.where("toxic = 1"), learn_from=F.lit(True)) is None
     assert {r.score for r in toxicity.score(df, None).collect()} == {0.0}
+
+
+def test_toxicity_reads_runs_to_their_end(spark):
+    """What is toxic after a long beginning counts: in a text without ASCII separators, and in words alike at first."""
+    rng = np.random.default_rng(2)
+    some = lambda n: "".join(chr(0x4E00 + int(x)) for x in rng.integers(0, 400, n))
+    for rude, kind in (("\u767d\u75f4\u5783\u573e", "\u4eca\u5929\u5929\u6c14"), ("donaudampfschiffidiot", "donaudampfschifffahrt")):
+        text = lambda x: f"{some(60)}\u3002{x}\u3002{some(40)}" if x > "z" else f"{sentence(int(rng.integers(900)), 30)} {x} {sentence(1, 9)}"  # noqa: B023, E731
+        rows = [(i, text(kind if i % 4 else rude), int(i % 4 == 0)) for i in range(400)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.fit(df, df.select("doc_id", "toxic"), learn_from=F.col("doc_id") % 5 != 0)
+        out = toxicity.score(df, model).where("doc_id % 5 = 0").collect()
+        assert all((r.score >= 0.5) == bool(r.toxic) for r in out)
