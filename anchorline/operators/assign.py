@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,29 +42,69 @@ def solve(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-def assign_within(edges: DataFrame, key: str) -> DataFrame:
+def match(ptr: np.ndarray, to: np.ndarray, cost: np.ndarray, m: int) -> np.ndarray:
+    """The edge of each row, or -1: most pairs first, then least cost. Row i has the edges ptr[i]:ptr[i+1] to columns under m.
+
+    Shortest augmenting paths over the given edges only. A row may also take a column of its own, m + i, at
+    a cost above that of all pairs together: it is then left out.
+    """
+    n = len(ptr) - 1
+    none = 1 + 2 * sum(float(np.abs(cost[a:b]).max()) for a, b in zip(ptr[:-1], ptr[1:], strict=True) if b > a)
+    u = [float(cost[a:b].min()) if b > a else none for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
+    v: dict[int, float] = {}
+    owner, mate, edge = {}, [-1] * n, [-1] * n
+    for s in range(n):
+        dist, back, done, heap, i, base = {}, {}, set(), [], s, 0.0
+        while True:
+            a, b = int(ptr[i]), int(ptr[i + 1])
+            for j, c, e in [*zip(to[a:b].tolist(), cost[a:b].tolist(), range(a, b), strict=True), (m + i, none, -1)]:
+                d = base + c - u[i] - v.get(j, 0.0)
+                if j not in done and d < dist.get(j, np.inf):
+                    dist[j], back[j] = d, (i, e)
+                    heappush(heap, (d, j))
+            base, j = heappop(heap)
+            while j in done:
+                base, j = heappop(heap)
+            if j not in owner:
+                break
+            done.add(j)
+            i = owner[j]
+        u[s] += base
+        for k in done:
+            v[k] = v.get(k, 0.0) - (base - dist[k])
+            u[owner[k]] += base - dist[k]
+        while True:
+            i, edge_in = back[j]
+            owner[j], edge[i] = i, edge_in
+            mate[i], j = j, mate[i]
+            if i == s:
+                break
+    return np.array(edge, np.int64)
+
+
+def assign_within(edges: DataFrame, key: str, at: tuple[str, str] | None = None) -> DataFrame:
     """(key, left, right, cost) of the chosen edges. edges: key, left, right, cost.
 
-    Only edges are given, so a group is one timeline's candidates; it is solved in one task.
+    ``at``: columns of the times of an edge's two ends. A timeline is then cut where no edge passes, which changes
+    no result, and each piece is solved in a task of its own; else a whole timeline is.
     """
     kinds = dict(edges.dtypes)
+    named = [key, "left", "right", F.col("cost").cast("double").alias("cost")]
+    if at is None:
+        cut = edges.select(*named, F.lit(0).cast("long").alias("__piece"))
+    else:
+        cut = edges.select(*named, F.least(*at).alias("__lo"), F.greatest(*at).alias("__hi"))
+        w = Window.partitionBy(key).orderBy("__lo", "__hi")
+        new = F.col("__lo") > F.max("__hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        cut = cut.withColumn("__new", new.cast("long")).withColumn("__piece", F.sum(F.coalesce("__new", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
     def run(t: pa.Table) -> pa.Table:
         left, li = np.unique(t["left"].to_numpy(zero_copy_only=False), return_inverse=True)
         right, ri = np.unique(t["right"].to_numpy(zero_copy_only=False), return_inverse=True)
         cost = t["cost"].to_numpy()
-        flip = len(left) > len(right)
-        shape = (len(right), len(left)) if flip else (len(left), len(right))
-        a, b = (ri, li) if flip else (li, ri)
-        none = 1e6
-        grid = np.full(shape, none)
-        order = np.argsort(-cost, kind="stable")
-        grid[a[order], b[order]] = cost[order]
-        chosen = solve(grid)
-        rows = np.flatnonzero(grid[np.arange(shape[0]), chosen] < none)
-        i, j = (chosen[rows], rows) if flip else (rows, chosen[rows])
-        key_values = pa.array([t[key][0].as_py()] * len(rows), t.schema.field(key).type)
-        return pa.table({key: key_values, "left": pa.array(left[i].tolist(), t.schema.field("left").type), "right": pa.array(right[j].tolist(), t.schema.field("right").type), "cost": pa.array(grid[rows, chosen[rows]])})
+        order = np.lexsort((cost, ri, li))
+        chosen = match(np.searchsorted(li[order], np.arange(len(left) + 1)), ri[order], cost[order], len(right))
+        return t.take(pa.array(order[chosen[chosen >= 0]])).select([key, "left", "right", "cost"])
 
     schema = f"{key} {kinds[key]}, left {kinds['left']}, right {kinds['right']}, cost double"
-    return edges.select(key, "left", "right", F.col("cost").cast("double")).groupBy(key).applyInArrow(run, schema)
+    return cut.select(key, "left", "right", "cost", "__piece").groupBy(key, "__piece").applyInArrow(run, schema)

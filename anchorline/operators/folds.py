@@ -1,26 +1,38 @@
 """Order-dependent folds over the rows of one timeline, in the JVM.
 
-A timeline (one clip) is one record of bounded size by nature; its rows are sorted in
-an array and folded with ``aggregate``; every row comes back with the state after it.
+A timeline is cut where a gap makes the fold start anew whatever came before; the rows
+of a piece are sorted in an array and folded with ``aggregate``; every row comes back
+with the state after it. Without such gaps a piece is the whole timeline.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], state: dict[str, tuple[str, Callable[[Column, Column], Column], Callable[[Column], Column]]]) -> DataFrame:
+def fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], state: dict[str, tuple[str, Callable[[Column, Column], Column], Callable[[Column], Column]]], gap: tuple[str, str, float] | None = None, number: str | None = None) -> DataFrame:
     """``df`` plus state columns. state: name -> (type, next(state, row), first(row)).
 
-    ``order`` entries are sorted ascending; give negated columns for descending.
+    ``order`` entries are sorted ascending; give negated columns for descending. ``gap``: (time, end, tolerance), the
+    time being first in order; a row more than the tolerance after all ends before it must start a new state as the
+    first row does. ``number``: the state that counts from 1 and counts on in such rows.
     """
     rows = [c for c in df.columns if c not in keys]
     keyed = [(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
     item = F.struct(*keyed, F.struct(*rows).alias("row"))
-    packed = df.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["row"]).alias("__rows"))
+    parts = [*keys]
+    if gap:
+        time, end, tol = gap
+        w = Window.partitionBy(*keys).orderBy(time)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        new = (F.col(time) - F.max(end).over(before) > tol) & F.first(time).over(before).isNotNull()
+        # Rows of equal time stay together.
+        df = df.withColumn("__new", F.coalesce(new, F.lit(False)).cast("long")).withColumn("__piece", F.sum("__new").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
+        parts.append("__piece")
+    packed = df.groupBy(*parts).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["row"]).alias("__rows"))
     row_type = df.select(F.struct(*rows).alias("r")).schema["r"].dataType.simpleString()
     kind = "struct<" + ",".join(f"{n}:{t}" for n, (t, _, _) in state.items()) + ">"
     out_type = f"array<struct<row:{row_type},s:{kind}>>"
@@ -31,8 +43,13 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], stat
         return F.struct((acc["n"] + 1).alias("n"), new.alias("s"), F.concat(acc["out"], F.array(F.struct(row.alias("row"), new.alias("s")))).alias("out"))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(None).cast(kind).alias("s"), F.array().cast(out_type).alias("out"))
-    done = packed.select(*keys, F.explode(F.aggregate("__rows", start, step, lambda acc: acc["out"])).alias("__x"))
-    return done.select(*keys, *[F.col(f"__x.row.{c}").alias(c) for c in rows], *[F.col(f"__x.s.{n}").alias(n) for n in state])
+    folded = packed.select(*parts, F.aggregate("__rows", start, step, lambda acc: acc["out"]).alias("__out"))
+    earlier = F.lit(0)
+    if gap and number:
+        earlier = F.coalesce(F.sum(F.element_at("__out", -1)["s"][number]).over(Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    done = folded.withColumn("__earlier", earlier).select(*keys, "__earlier", F.explode("__out").alias("__x"))
+    states = [(F.col(f"__x.s.{n}") + F.col("__earlier") if n == number else F.col(f"__x.s.{n}")).alias(n) for n in state]
+    return done.select(*keys, *[F.col(f"__x.row.{c}").alias(c) for c in rows], *states)
 
 
 def keep_first_gap(df: DataFrame, keys: Sequence[str], t: str, seq: str, gap: float) -> DataFrame:
@@ -43,6 +60,7 @@ def keep_first_gap(df: DataFrame, keys: Sequence[str], t: str, seq: str, gap: fl
             "__last": ("double", lambda s, r: F.when(r[t] - s["__last"] >= gap, r[t].cast("double")).otherwise(s["__last"]), lambda r: r[t].cast("double")),
             "__kept": ("boolean", lambda s, r: r[t] - s["__last"] >= gap, lambda r: F.lit(True)),
         },
+        gap=(t, t, gap),
     )
     return kept.where("__kept").drop("__last", "__kept")
 
@@ -61,4 +79,5 @@ def clusters(df: DataFrame, keys: Sequence[str], t: str, seq: str, rank: str, to
             "rep_t": pick(t, "rep_t", "double"), "rep_rank": pick(rank, "rep_rank", "double"), "rep_seq": pick(seq, "rep_seq", "bigint"),
             "cluster": ("bigint", lambda s, r: F.when(near(s, r), s["cluster"]).otherwise(s["cluster"] + 1), lambda r: F.lit(1)),
         },
+        gap=(t, t, tol), number="cluster",
     )

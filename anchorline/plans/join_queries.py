@@ -134,7 +134,7 @@ def q_assign_exclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = range_join(c, a, ["clip"], "start_ms", "t_ms", 400_000)
     apart = (~F.col("stem").isin("effects", "mixture") & (F.col("kind") != "sed_event")).cast("int")
     cost = 0.45 * F.abs(F.col("t_ms") - F.col("start_ms")) / 400_000 + 0.30 * F.lit(0.5) + 0.15 * (1 - F.col("strength_norm")) + 0.10 * apart
-    pairs = assign_within(edges.select("clip", "left", "right", cost.alias("cost")), "clip")
+    pairs = assign_within(edges.select("clip", "left", "right", cost.alias("cost"), "start_ms", "t_ms"), "clip", ("start_ms", "t_ms"))
     kept = pairs.where("cost <= 0.85")
     return c.join(kept.select("left", "right", "cost"), "left", "left").select(F.col("left").alias("cue_id"), F.col("right").alias("anchor"), F.round("cost", 6).alias("snap_cost"), F.col("right").isNull().alias("snap_rejected"))
 
@@ -145,8 +145,8 @@ def q_match_collar(spark: SparkSession, sf_dir: str) -> DataFrame:
     tl = timeline(spark, sf_dir)
     p = tl.where("kind = 'audio_onset'").select("clip", F.col("seq").alias("left"), F.col("t_ms").alias("p_t"))
     g = tl.where("kind = 'sed_event'").select("clip", F.col("seq").alias("right"), F.col("t_ms").alias("g_t"))
-    edges = range_join(p, g, ["clip"], "p_t", "g_t", 200_000).select("clip", "left", "right", F.abs(F.col("p_t") - F.col("g_t")).cast("double").alias("cost"))
-    return assign_within(edges, "clip").select("clip", F.col("left").alias("pred"), F.col("right").alias("gold"), F.col("cost").cast("long").alias("error_ms"))
+    edges = range_join(p, g, ["clip"], "p_t", "g_t", 200_000).select("clip", "left", "right", F.abs(F.col("p_t") - F.col("g_t")).cast("double").alias("cost"), "p_t", "g_t")
+    return assign_within(edges, "clip", ("p_t", "g_t")).select("clip", F.col("left").alias("pred"), F.col("right").alias("gold"), F.col("cost").cast("long").alias("error_ms"))
 
 
 @query(f"""

@@ -49,6 +49,7 @@ def _deduped(df: DataFrame) -> DataFrame:
             "merged_into": ("bigint", lambda s, r: F.get(fits(s, r), F.lit(0))["seq"], lambda r: F.lit(None)),
             "kept": (f"array<{item}>", lambda s, r: F.when(F.size(fits(s, r)) > 0, near(s, r)).otherwise(F.concat(near(s, r), F.array(own(r)))), lambda r: F.array(own(r))),
         },
+        gap=("t", "t", 1_200_000),
     )
     return out.select("clip", "seq", "merged_into")
 

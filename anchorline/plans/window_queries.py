@@ -82,6 +82,7 @@ def q_dedupe_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
             "rep_t": pick("t_ms", "rep_t", "bigint"), "rep_rank": pick("rank", "rep_rank", "int"), "rep_s": pick("strength", "rep_s", "double"), "rep_seq": pick("seq", "rep_seq", "bigint"),
             "cluster": ("bigint", lambda s, r: F.when(near(s, r), s["cluster"]).otherwise(s["cluster"] + 1), lambda r: F.lit(1)),
         },
+        gap=("t_ms", "t_ms", 60_000), number="cluster",
     )
     return out.select("clip", "seq", "cluster", "rep_seq")
 
@@ -107,6 +108,7 @@ def q_band_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
             "bands": ("array<string>", lambda s, r: F.when(far(s, r), F.array(r["band"])).otherwise(F.array_sort(F.array_union(s["bands"], F.array(r["band"])))), lambda r: F.array(r["band"])),
             "cluster": ("bigint", lambda s, r: F.when(far(s, r), s["cluster"] + 1).otherwise(s["cluster"]), lambda r: F.lit(1)),
         },
+        gap=("t_ms", "t_ms", 250_000), number="cluster",
     )
     return out.select("clip", "seq", "cluster", F.array_join("bands", "+").alias("bands"), "rep_t")
 
@@ -148,7 +150,7 @@ def q_peaks_adaptive(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = lambda s, r: r["t"] - s["last"] >= 3_600_000
     wins = lambda s, r: far(s, r) | (r["v"] > s["best"])
     pick = lambda c, to, kind: (kind, lambda s, r: F.when(wins(s, r), r[c]).otherwise(s[to]), lambda r: r[c])
-    out = fold(peaks, ["clip"], ["t"], {"last_seq": pick("seq", "last_seq", "bigint"), "last": pick("t", "last", "bigint"), "best": pick("v", "best", "double"), "peak": ("bigint", lambda s, r: F.when(far(s, r), s["peak"] + 1).otherwise(s["peak"]), lambda r: F.lit(1))})
+    out = fold(peaks, ["clip"], ["t"], {"last_seq": pick("seq", "last_seq", "bigint"), "last": pick("t", "last", "bigint"), "best": pick("v", "best", "double"), "peak": ("bigint", lambda s, r: F.when(far(s, r), s["peak"] + 1).otherwise(s["peak"]), lambda r: F.lit(1))}, gap=("t", "t", 3_600_000), number="peak")
     return out.groupBy("clip", "peak").agg(F.max_by("last_seq", "t").alias("seq"))
 
 
@@ -210,6 +212,7 @@ def q_gap_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
             "last_end": ("bigint", lambda s, r: F.when(joins(s, r), F.greatest(r["end_ms"], s["last_end"])).otherwise(r["end_ms"]), lambda r: r["end_ms"]),
             "grp": ("bigint", lambda s, r: F.when(joins(s, r), s["grp"]).otherwise(s["grp"] + 1), lambda r: F.lit(1)),
         },
+        gap=("start_ms", "end_ms", 800), number="grp",
     )
     return out.groupBy("clip", "grp").agg(F.min("c").alias("c"), F.min("start_ms").alias("start_ms"), F.max("last_end").alias("end_ms"), F.count(F.lit(1)).alias("n")).drop("grp")
 
@@ -259,7 +262,7 @@ def q_scene_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = lambda s, r: r["t_ms"] - s["last"] >= 1_800_000
     wins = lambda s, r: far(s, r) | (r["cut"] & ~s["is_cut"]) | ((r["cut"] == s["is_cut"]) & (r["v"] > s["best"]))
     pick = lambda c, to, kind: (kind, lambda s, r: F.when(wins(s, r), r[c]).otherwise(s[to]), lambda r: r[c])
-    out = fold(x, ["clip"], ["t_ms", "seq"], {"keep": pick("seq", "keep", "bigint"), "last": pick("t_ms", "last", "bigint"), "best": pick("v", "best", "double"), "is_cut": pick("cut", "is_cut", "boolean"), "peak": ("bigint", lambda s, r: F.when(far(s, r), s["peak"] + 1).otherwise(s["peak"]), lambda r: F.lit(1))})
+    out = fold(x, ["clip"], ["t_ms", "seq"], {"keep": pick("seq", "keep", "bigint"), "last": pick("t_ms", "last", "bigint"), "best": pick("v", "best", "double"), "is_cut": pick("cut", "is_cut", "boolean"), "peak": ("bigint", lambda s, r: F.when(far(s, r), s["peak"] + 1).otherwise(s["peak"]), lambda r: F.lit(1))}, gap=("t_ms", "t_ms", 1_800_000), number="peak")
     at = F.struct("t_ms", "seq")
     f = out.groupBy("clip", "peak").agg(F.max_by("keep", at).alias("keep"), F.max_by("is_cut", at).alias("is_cut"), F.max_by("best", at).alias("best"))
     place = F.row_number().over(Window.partitionBy("clip", "is_cut").orderBy(F.desc("best"), "keep"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from anchorline.functions.numeric import half_even
 from anchorline.functions.text import last_error_line, map_label, overlap, rate, tokens
 from anchorline.operators.assign import assign_within, solve
+from anchorline.operators.folds import clusters, keep_first_gap
 from anchorline.operators.joins import none_within, range_join
 from anchorline.operators.tables import merge_ledger, replace_scope, upsert_latest
 from anchorline.sources.files import _objects, _repair, audacity_lines, pending_links, read_audacity, read_link_sheet
@@ -30,6 +31,32 @@ def test_assign_uses_each_once(spark):
     assert sum(r.cost for r in rows) == 0
 
 
+def test_assign_of_a_long_timeline(spark):
+    """Sparse edges of one timeline, cut where none passes: as many pairs and the same cost as by the whole matrix, of any size of cost."""
+    rng = np.random.default_rng(4)
+    a, b = (np.sort(rng.integers(0, 6000, 70)) for _ in range(2))
+    rows = [("c", i, j, float(abs(x - y)) * 1e5, int(x), int(y)) for i, x in enumerate(a) for j, y in enumerate(b) if abs(x - y) <= 60]
+    edges = spark.createDataFrame(rows, "clip string, left long, right long, cost double, x long, y long")
+    out = assign_within(edges, "clip", ("x", "y")).collect()
+    grid = np.full((70, 70), 1e10)
+    for _, i, j, cost, *_ in rows:
+        grid[i, j] = cost
+    want = grid[np.arange(70), solve(grid)]
+    assert len(out) == (want < 1e10).sum() == len({r.left for r in out}) == len({r.right for r in out})
+    assert abs(sum(r.cost for r in out) - want[want < 1e10].sum()) < 1
+    far = spark.range(30_000).selectExpr("'c' AS clip", "id AS left", "id AS right", "1.0D AS cost", "10 * id AS x", "10 * id + 1 AS y")
+    assert assign_within(far, "clip").count() == 30_000
+
+
+def test_folds_of_a_long_timeline(spark):
+    """A timeline is folded in pieces between gaps, with the numbers of the whole."""
+    df = spark.range(40_000).selectExpr("'c' AS clip", "id AS seq", "(id DIV 4) * 100 + id % 4 AS t", "id % 3 AS rank")
+    out = clusters(df, ["clip"], "t", "seq", "rank", 10)
+    assert "__piece" in out._jdf.queryExecution().toString()
+    assert out.where("cluster != seq DIV 4 + 1").count() == 0 and out.count() == 40_000
+    assert keep_first_gap(df, ["clip"], "t", "seq", 10).selectExpr("count(*)", "sum(seq % 4)").first()[:] == (10_000, 0)
+
+
 def test_range_join_equals_nested_loop(spark):
     rng = np.random.default_rng(3)
     a = [("x" if i % 2 else "y", i, int(t)) for i, t in enumerate(rng.integers(-500, 500, 60))]
