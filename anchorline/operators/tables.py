@@ -33,7 +33,10 @@ def merge_ledger(old: DataFrame, clips: DataFrame, keys: Sequence[str], interval
 
 
 def split_lists(ids: DataFrame, id_col: str) -> DataFrame:
-    """(split, ids) with sorted distinct ids and all three splits present."""
-    names = ids.sparkSession.createDataFrame([(x,) for x in ("train", "validation", "test")], "split string")
-    got = ids.groupBy(stable_split(F.col(id_col)).alias("split")).agg(F.sort_array(F.collect_set(id_col)).alias("ids"))
-    return names.join(got, "split", "left").select("split", F.coalesce("ids", F.array().cast("array<string>")).alias("ids"))
+    """(split, id): the split of each distinct id, one row each."""
+    return ids.select(stable_split(F.col(id_col)).alias("split"), F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
+
+
+def write_split_lists(lists: DataFrame, path: str) -> None:
+    """A folder for each split, its files in the order of ids."""
+    lists.repartitionByRange("split", "id").sortWithinPartitions("split", "id").write.partitionBy("split").parquet(path)

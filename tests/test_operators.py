@@ -10,7 +10,7 @@ from anchorline.functions.text import last_error_line, map_label, overlap, rate,
 from anchorline.operators.assign import assign_within, solve
 from anchorline.operators.folds import clusters, keep_first_gap
 from anchorline.operators.joins import none_within, range_join
-from anchorline.operators.tables import merge_ledger, replace_scope, upsert_latest
+from anchorline.operators.tables import merge_ledger, replace_scope, split_lists, upsert_latest, write_split_lists
 from anchorline.sources.files import _objects, _repair, audacity_lines, pending_links, read_audacity, read_link_sheet
 
 
@@ -88,6 +88,16 @@ def test_tables(spark):
     assert {tuple(r)[0]: r.status for r in merge_ledger(ledger, clips, ["clip"], ["a", "b"]).collect()} == {"x": "completed", "y": "pending", "z": "pending"}
 
 
+def test_split_lists_are_rows(spark, tmp_path):
+    """No row holds the ids of a whole split; written lists are sorted and complete."""
+    ids = spark.range(500).selectExpr("CAST(id % 250 AS STRING) AS id").unionByName(spark.createDataFrame([(None,)], "id string"))
+    rows = split_lists(ids, "id")
+    assert rows.columns == ["split", "id"] and rows.count() == 250
+    write_split_lists(rows, str(tmp_path / "lists"))
+    back = spark.read.parquet(str(tmp_path / "lists"))
+    assert {(r.split, r.id) for r in back.select("split", F.col("id").cast("string").alias("id")).collect()} == {tuple(r) for r in rows.collect()}
+
+
 def test_json_texts():
     assert _objects('{"a": 1}{"b": [2]} junk {oops {"c": "}"}') == ['{"a": 1}', '{"b": [2]}', '{"c": "}"}']
     assert _objects(None) == [] and _objects("[1]") == []
