@@ -167,7 +167,7 @@ def media_column(text: str | None) -> tuple[bytes, int]:
 
 def encode_media(df: DataFrame, *, text_col: str = "text", out_col: str = "media") -> DataFrame:
     """``df`` with ``text_col`` as AVI bytes in ``out_col`` (and its length in ``n_bytes``)."""
-    bound_batches(df.sparkSession, 500, 4)
+    bound_batches(df.sparkSession)
     kept = [c for c in df.columns if c not in (out_col, "n_bytes")]
     schema = df.select(*kept, F.lit(b"").alias(out_col), F.lit(0).cast("long").alias("n_bytes")).schema
 

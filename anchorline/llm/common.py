@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,10 +48,18 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession, rows: int = 4000, megabytes: int = 8) -> None:
-    """Arrow batches of bounded rows and bytes, so that long texts do not fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+#: Arrow batches of all operators: the same bounds everywhere, so that a query built later changes nothing for one built before.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded rows and bytes, so that long texts do not fill a Python worker; smaller settings stay."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        have = spark.conf.get(name)
+        digits = re.fullmatch(r"(\d+)b?", have.lower())
+        if digits is None or not 0 < int(digits[1]) <= most:
+            spark.conf.set(name, str(most))
 
 
 def parts(spark: SparkSession) -> int:

@@ -126,7 +126,7 @@ def mark_contamination(
 ) -> DataFrame:
     """``docs`` plus ``matches``: the items of whose shingles the text holds ``threshold`` or more."""
     spark = docs.sparkSession
-    bound_batches(spark, 2000, 8)
+    bound_batches(spark)
     kept = [c for c in docs.columns if c != matches_col]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(matches_col, T._parse_datatype_string(MATCHES))])
     sets = item_sets(items, id_col=item_id_col, text_col=item_text_col, k=k)

@@ -57,7 +57,7 @@ def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     # Rows are matched by a hash of id and text: equal rows have equal answers.
     row = F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text)))
     base = df.select(*kept, row.alias(_ROW), F.split(text, "\n").alias(_LINES))
-    bound_batches(df.sparkSession, 1000, 4)
+    bound_batches(df.sparkSession)
     keyed = _keyed(df.select(F.col(id_col).alias(_ID), row.alias(_ROW), F.col(text_col)), min_chars)
     common = keyed.select("h", _ID).distinct().groupBy("h").count().where(F.col("count") >= min_docs).select("h")
     drops = keyed.join(common, "h").groupBy(_ROW).agg(F.collect_set("pos").alias(_DROP))

@@ -201,7 +201,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     spark = docs.sparkSession
-    bound_batches(spark, 1000, 4)
+    bound_batches(spark)
     rows = stored(_sketched(docs, id_col, text_col, k, registers))
     classes = rows.where("n > 0").groupBy("fp").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("rows"))
     classes = stored(classes)

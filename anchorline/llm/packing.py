@@ -134,7 +134,7 @@ def pack(runs: Iterator[tuple[int, np.ndarray]], size: int, first_sequence: int)
 
 def pack_documents(df: DataFrame, *, tokenizer_path: str, end_id: int = 1, size: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each piece of each document: where its ids lie in which sequence."""
-    bound_batches(df.sparkSession, 1000, 8)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_path)

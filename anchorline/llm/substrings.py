@@ -200,7 +200,7 @@ def _cut(df: DataFrame, kept: list[str], id_col: str, text_col: str, window: int
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, sample_docs: int = 2000, group_bytes: int = 24 << 20) -> DataFrame:
     """``docs`` without words of repeated windows (kept words joined by one space), plus n_words and n_removed."""
     spark = docs.sparkSession
-    bound_batches(spark, 2000, 8)
+    bound_batches(spark)
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -193,7 +193,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int
 def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 3000, max_ordinary: int = 6000) -> Model | None:
     """A model from a bounded sample of labelled rows; ``learn_from`` is a condition on the label table's id."""
     spark = docs.sparkSession
-    bound_batches(spark, 1000, 8)
+    bound_batches(spark)
     each = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & learn_from).groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("y"))
     ranked = each.select("__id", "y", F.xxhash64("__id", F.lit(7)).alias("__h"))
     chosen = ranked.where("y = 1").orderBy("__h", "__id").limit(max_toxic).unionAll(ranked.where("y = 0").orderBy("__h", "__id").limit(max_ordinary))
@@ -240,7 +240,7 @@ def score(docs: DataFrame, model: Model | None, *, text_col: str = "text", score
     if model is None:
         return docs.select(*kept, F.lit(0.0).alias(score_col))
     spark = docs.sparkSession
-    bound_batches(spark, 2000, 8)
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(score_col, T.DoubleType())])
 

@@ -1,3 +1,4 @@
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -6,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from anchorline.llm import pitman_yor, toxicity
-from anchorline.llm.words import pieces
+from anchorline.llm.words import mix
 from tests.llm.conftest import sentence
 from tests.llm.test_near import LOWER, WORD
 
@@ -18,7 +19,7 @@ def test_scores_match_counts(spark, edge_docs, no_docs):
     c = Counter(w for d, ws in rows if learnt(d) for w in ws)
     n, v = sum(c.values()), len(c)
     want = Counter((d, learnt(d), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), 4)) for d, ws in rows)
-    out = pitman_yor.score(edge_docs, train=train, context_share=1e-3).collect()
+    out = pitman_yor.score(edge_docs, train=train).collect()
     assert Counter((r.doc_id, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in out) == want
     assert all(r.score < 0 and math.isfinite(r.score) for r in out)
     assert pitman_yor.score(no_docs, train=train).count() == 0
@@ -39,7 +40,7 @@ def test_score_beats_single_words_and_is_a_distribution(spark):
         return " ".join(out)
 
     df = spark.createDataFrame([(i, text(80)) for i in range(200)], "doc_id long, text string")
-    out = pitman_yor.score(df, train=F.col("doc_id") < 150, context_share=1e-3).where("NOT train").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    out = pitman_yor.score(df, train=F.col("doc_id") < 150).where("NOT train").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
     assert out[0] > 0.75 * out[1]
 
 
@@ -53,39 +54,138 @@ def test_rare_contexts_are_seated(spark):
     assert out[301] > out[302] + 2
 
 
-def test_seating_sums():
-    """Tables of large seatings agree with seating customer by customer."""
+def _log_rising(x, n, d):
+    return sum(math.log(x + d * i) for i in range(n))
+
+
+def _brute_force(tokens, base):
+    """Mean predictive probabilities of all (room, before, word) over every seating, weighted exactly."""
+    stirling = {d: np.exp(pitman_yor.log_stirling(d, 8)) for d in pitman_yor.DISCOUNT}
+    (_, d1, d2), (_, s1, s2) = pitman_yor.DISCOUNT, pitman_yor.STRENGTH
+    dishes = sorted(Counter(tokens).items())
+    total, weight = Counter(), 0.0
+    for t2 in itertools.product(*(range(1, n + 1) for _, n in dishes)):
+        c1 = Counter()
+        for ((r, _, w), _), t in zip(dishes, t2, strict=True):
+            c1[r, w] += t
+        up = sorted(c1)
+        for t1 in itertools.product(*(range(1, c1[x] + 1) for x in up)):
+            all2, cust2, all1, cust1 = Counter(), Counter(), Counter(), Counter()
+            log = 0.0
+            for ((r, b, _), n), t in zip(dishes, t2, strict=True):
+                all2[r, b] += t
+                cust2[r, b] += n
+                log += math.log(stirling[d2][n, t])
+            for (r, w), t in zip(up, t1, strict=True):
+                all1[r] += t
+                cust1[r] += c1[r, w]
+                log += math.log(stirling[d1][c1[r, w], t]) + t * math.log(base[w])
+            log += sum(_log_rising(s2, all2[x], d2) - _log_rising(s2, cust2[x], 1) for x in all2)
+            log += sum(_log_rising(s1, all1[x], d1) - _log_rising(s1, cust1[x], 1) for x in all1)
+            p = math.exp(log)
+            weight += p
+            tables1 = dict(zip(up, t1, strict=True))
+            for ((r, b, w), n), t in zip(dishes, t2, strict=True):
+                one = (c1[r, w] - d1 * tables1[r, w] + (s1 + d1 * all1[r]) * base[w]) / (s1 + cust1[r])
+                total[r, b, w] += p * (n - d2 * t + (s2 + d2 * all2[r, b]) * one) / (s2 + cust2[r, b])
+    return {k: v / weight for k, v in total.items()}
+
+
+def test_gibbs_against_every_seating():
+    """The mean predictive probability over many sweeps is that over all seatings of a small corpus."""
+    tokens = [(1, 1, 0)] * 3 + [(1, 1, 1)] + [(1, 2, 0)] * 2 + [(1, 2, 2)] * 2 + [(2, 1, 1)] * 3 + [(2, 1, 0)]
+    base = np.array([0.5, 0.2, 0.1])
+    want = _brute_force(tokens, base)
+    room, before, word = (mix(np.array(x, np.uint64) + np.uint64(9)) for x in zip(*tokens, strict=True))
+    names = {int(mix(np.array([i], np.uint64) + np.uint64(9))[0]): i for i in range(3)}
+    r = pitman_yor.Restaurants(room, before, word, np.ones(len(tokens), bool))
+    by_word = base[[names[int(k)] for k in r.words.keys]]
+    rng, total, n = np.random.default_rng(0), 0, 6000
+    for i in range(n + 200):
+        r.sweep(by_word, rng)
+        if i >= 200:
+            total = total + r.levels(by_word)[1]
+    got = dict(zip(tokens, (total / n)[r.token].tolist(), strict=True))
+    assert set(got) == set(want)
+    assert all(abs(math.log(got[k] / want[k])) < 0.06 for k in want), (got, want)
+
+
+def test_root_against_every_seating():
+    """The empty context's mean of customers less discounted tables is that over all seatings."""
+    c, types = np.array([3, 1, 4]), 5
+    d, a = pitman_yor.DISCOUNT[0], pitman_yor.STRENGTH[0]
+    stirling = np.exp(pitman_yor.log_stirling(d, 8))
+    want, weight = np.zeros(3), 0.0
+    for t in itertools.product(*(range(1, n + 1) for n in c)):
+        p = math.exp(_log_rising(a, sum(t), d)) * math.prod(stirling[n, x] for n, x in zip(c, t, strict=True)) / (types + 1) ** sum(t)
+        want, weight = want + p * (c - d * np.array(t)), weight + p
+    got, _ = pitman_yor.seat_root(c, types, 1.0, np.random.default_rng(1), 50, 4000)
+    assert np.abs(got - want / weight).max() < 0.06
+
+
+def test_large_dishes_are_seated_alike():
+    """Leaps give the table numbers of seating customer by customer."""
     rng = np.random.default_rng(5)
-    c, a, d = np.full(400, 300), np.full(400, 7.0), 0.8
-    fast = pitman_yor.seat(c, a, d, rng)[0].mean()
+    fast = pitman_yor.seat(np.full(400, 300), np.full(400, 7.0), 0.8, rng).mean()
     slow = []
     for _ in range(400):
         t = 1
         for i in range(1, 300):
-            t += rng.random() < 7.0 / (7.0 + i - d * t)
+            t += rng.random() < 7.0 / (7.0 + i - 0.8 * t)
         slow.append(t)
     assert abs(fast - np.mean(slow)) < 1.5
-    assert (pitman_yor.reseat(np.array([0, 1, 2, 50]), np.array([1.0, 1, 1, 1]), 0.8, rng, 2) <= [0, 1, 2, 50]).all()
 
 
 def test_predictions_sum_to_one():
-    """Over all known types and the unknown one, the probabilities of a context sum to one."""
-    contexts = pitman_yor.Contexts(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.array([0, 0, 1]), np.array([0, 1, 2]))
-    words = (np.arange(1, 31, dtype=np.uint64) << np.uint64(20))
+    """Over all known types and the unknown one, the probabilities of a context sum to one, as those of a word with several restaurants do."""
     rng = np.random.default_rng(1)
-    keys = np.sort(np.concatenate([words[:20] | np.uint64(k) for k in (0, 1, 2)]))
-    counts = rng.integers(1, 60, len(keys))
-    dishes = pitman_yor.Dishes.build(keys, counts, contexts)
-    totals = pitman_yor.Totals(np.zeros(3), np.zeros(3), 20, int(counts.sum()))
-    for _ in range(4):
-        have, t, c = dishes.sums()
-        totals.tables[have], totals.customers[have] = t, c
-        dishes.sweep(totals, rng, 2)
-    have, t, c = dishes.sums()
-    totals.tables[have], totals.customers[have] = t, c
-    for k in (0, 1, 2):
-        p = dishes.predict(words[:20] | np.uint64(k), totals).sum() + dishes.predict(words[25:26] | np.uint64(k), totals).sum()
-        assert abs(p - 1) < 1e-9
+    n, types = 4000, 40
+    last, before, word = (mix(rng.integers(0, k, n).astype(np.uint64) + np.uint64(100)) for k in (3, 5, types))
+    every = mix(np.arange(types, dtype=np.uint64) + np.uint64(100))
+    context = np.full(types, last[0]), np.full(types, before[0])
+    setup = pitman_yor.Setup(np.array([1], np.uint64), np.array([last[0]]), np.array([4]), np.array([9]), 1, n, types, 1, 1, 1)
+    row = rng.integers(0, 90, n)
+    room = setup.rooms(np.append(before, context[1]), np.append(last, context[0]), np.append(row, np.full(types, row[0])))
+    assert len(set(room[:n].tolist())) > 3
+    r = pitman_yor.Restaurants(room, np.append(before, context[1]), np.append(word, every), np.append(np.ones(n, bool), np.zeros(types, bool)))
+    base = np.full(len(r.words), 1 / (types + 1))
+    for _ in range(3):
+        r.sweep(base, rng)
+    p = r.levels(base)[1][r.token[n:]]
+    at = r.token[n]
+    room1, room2 = r.room1.of[r.up[at]], r.room2.of[at]
+    one = (pitman_yor.STRENGTH[1] + pitman_yor.DISCOUNT[1] * r.all_t1[room1]) * base[0] / (pitman_yor.STRENGTH[1] + r.all_c1[room1])
+    unknown = (pitman_yor.STRENGTH[2] + pitman_yor.DISCOUNT[2] * r.all_t2[room2]) * one / (pitman_yor.STRENGTH[2] + r.all_c2[room2])
+    assert abs(p.sum() + unknown - 1) < 1e-9
+
+
+def test_groups_agree(spark):
+    """Groups and split restaurants change scores little; the number of partitions and the code book change nothing."""
+    rows = [(i, sentence(i % 40, 80)) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    run = lambda d, **o: {r.doc_id: r for r in pitman_yor.score(d, train=F.col("doc_id") % 7 != 2, **o).collect()}
+    whole = run(df)
+    assert {k: v.score for k, v in run(df.repartition(3), book=5).items()}.keys() == whole.keys()
+    for other in (run(df.coalesce(1), book=3), run(df, group_bytes=5000), run(df, limit=200, group_bytes=9000)):
+        assert all(abs(other[k].base_score - whole[k].base_score) < 1e-5 and other[k].n_known == whole[k].n_known and other[k].n_tokens == whole[k].n_tokens for k in whole)
+        assert abs(sum(x.score for x in other.values()) / sum(x.score for x in whole.values()) - 1) < 0.1
+    same = run(df.coalesce(1), book=3)
+    assert all(abs(same[k].score - whole[k].score) < 1e-5 for k in whole)
+
+
+def test_documents_that_occur_twice_stand_apart(spark):
+    rows = [(i, sentence(i, 120)) for i in range(150)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 150, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.perplexity for r in pitman_yor.score(df, train=F.lit(True)).collect()}
+    assert max(out[i] for i in range(0, 150, 10)) < min(out[i] for i in range(150) if i % 10)
+
+
+def test_order_of():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 3000):
+        for keys in (rng.integers(0, 2**64, n, dtype=np.uint64), rng.integers(0, 9, n).astype(np.uint64) << np.uint64(60), rng.integers(0, 1 << 11, n).astype(np.uint64)):
+            assert (keys[pitman_yor.order_of(keys)] == np.sort(keys)).all()
 
 
 def test_toxicity(spark, edge_docs, no_docs):
