@@ -32,11 +32,11 @@ _loaded: dict[str, Callable[[str], list[int]]] = {}
 
 
 def tokenizer(path: str) -> Callable[[str], list[int]]:
-    """text -> ids as the file's tokenizer gives them, special strings being ordinary text.
+    """text -> ids as the file's tokenizer gives them; its added tokens in a text are those tokens.
 
     Where the same vocabulary lies beside it as ranks, the rank form does the work (it is
     several times faster and gives the same ids); the file's own tokenizer takes over for
-    any text on which that form gives up.
+    any text that holds an added token or on which that form gives up.
     """
     if path in _loaded:
         return _loaded[path]
@@ -44,7 +44,7 @@ def tokenizer(path: str) -> Callable[[str], list[int]]:
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    added = [x.content for x in slow.get_added_tokens_decoder().values()]
     encode = exact = lambda text: slow.encode(text, add_special_tokens=False).ids
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     if path.endswith(".json") and os.path.exists(ranks_path):
@@ -56,6 +56,8 @@ def tokenizer(path: str) -> Callable[[str], list[int]]:
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         def encode(text: str) -> list[int]:
+            if any(x in text for x in added):
+                return exact(text)
             try:
                 return fast.encode_ordinary(text)
             except (Exception, BaseException) as e:  # its pattern engine panics on some extreme texts

@@ -48,7 +48,6 @@ def test_media_rows(edge_docs, no_docs):
 
 def brute_packing(docs, pieces, size=2048):
     exact = Tokenizer.from_file(PATH)
-    exact.encode_special_tokens = True
     want = Counter()
     ids = {}
     for d, t in docs:
@@ -83,10 +82,10 @@ def test_packing(spark, edge_docs, no_docs):
 
 def test_fast_ids_are_the_tokenizers():
     exact = Tokenizer.from_file(PATH)
-    exact.encode_special_tokens = True
     fast = packing.tokenizer(PATH)
-    for t in ("", " ", "a <|endoftext|> b", "don't  \n\n stop\t\t", "Ünïcödé 漢字 \U0001f600", "x" * 30_000, " " * 3000, "1234 $$$ \u00a0\u2003"):
+    for t in ("", " ", "a <|endoftext|> b", "<|endoftext|>", "don't  \n\n stop\t\t", "Ünïcödé 漢字 \U0001f600", "x" * 30_000, " " * 3000, "1234 $$$ \u00a0\u2003"):
         assert fast(t) == exact.encode(t, add_special_tokens=False).ids
+    assert 50256 in fast("a <|endoftext|> b")
 
 
 def test_sum_of_squares_choice():
