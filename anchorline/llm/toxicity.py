@@ -6,8 +6,13 @@ the model's depth, as texts without ASCII separators are, is an expression from
 its characters on, so that every byte is read, whatever precedes it. Discounted mass
 goes to the same beginning's counts over both classes, and from there to letter pairs
 by continuation counts: expressions too rare to speak for a class thus get the same
-likelihood in either. The log-likelihood ratio of each expression, and its mean over a
-text (normalised by length), with the largest ones, give the score by a logistic fit.
+likelihood in either: a class leans on both by its discounts and by ``SHARED`` counts. The
+score compares the two log-likelihoods normalised by length: of
+the whole text, and of its 1, 2, 4, 8 and 16 most telling expressions; a logistic fit on
+these differences and the text's length turns them into a probability. In the fit a toxic
+row weighs ``toxic_weight`` times an ordinary one. Pairs of expressions as a further level
+above were tried and left out: on labelled rows that were held out they lowered the share
+of toxic documents found from 0.85 to 0.75.
 
 The models are fitted on a bounded sample of labelled rows: at most ``max_toxic`` and
 ``max_ordinary`` documents, the first in the order of a hash of their ids; three
@@ -36,6 +41,10 @@ from anchorline.llm.words import U, Words, mix, pieces
 
 #: Letters (bytes) that are modelled from one beginning, the end included; longer runs begin anew at each character.
 DEPTH = 14
+#: Numbers of most telling expressions that are compared beside the whole text.
+TELLING = (1, 2, 4, 8, 16)
+#: Counts by which a class leans on the counts of both classes, beyond its discounts.
+SHARED = 20.0
 _STEP = U(0x9E3779B97F4A7C55)
 
 
@@ -114,19 +123,26 @@ class Model:
         return out
 
     def features(self, words: Words) -> np.ndarray:
-        """rows x (1, mean ratio, three largest ratios, log of the number of expressions)."""
-        words = Expressions(words)
-        keys, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
-        ratio = self.ratios(_letters(words.data, words.start[first], words.end[first]))[place] if len(keys) else np.zeros(0)
-        out = np.zeros((words.rows, 6))
+        """rows x (1, mean ratio, means over the most telling expressions, log of the number of expressions)."""
+        x = Expressions(words)
+        out = np.zeros((words.rows, 3 + len(TELLING)))
         out[:, 0] = 1
-        for i, (s, e) in enumerate(zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True)):
-            if e > s:
-                x = ratio[s:e]
-                top = np.sort(np.partition(x, -3)[-3:])[::-1] if e - s > 3 else np.sort(x)[::-1]
-                out[i, 1] = 100 * x.mean()
-                out[i, 2 : 2 + len(top)] = np.maximum(top, 0)
-                out[i, 5] = np.log10(1 + e - s)
+        n = np.diff(x.offsets)
+        some = np.flatnonzero(n)
+        if not len(some):
+            return out
+        _, first, of = np.unique(x.hashes, return_index=True, return_inverse=True)
+        ratio = self.ratios(_letters(x.data, x.start[first], x.end[first]))[of]
+        sums = np.append(0, np.cumsum(ratio))
+        out[some, 1] = 100 * (sums[x.offsets[1:][some]] - sums[x.offsets[:-1][some]]) / n[some]
+        # The most telling expressions of each row, in order; those that speak for no class count as 0.
+        telling = np.flatnonzero(ratio > 0)
+        telling = telling[np.lexsort((-ratio[telling], x.row[telling]))]
+        place = np.arange(len(telling)) - np.searchsorted(x.row[telling], x.row[telling])
+        for i, size in enumerate(TELLING):
+            top = telling[place < size]
+            out[:, 2 + i] = np.bincount(x.row[top], ratio[top], words.rows) / size
+        out[some, -1] = np.log10(1 + n[some])
         return out
 
     def scores(self, words: Words) -> np.ndarray:
@@ -160,12 +176,13 @@ def fit_counts(words: list[bytes], counts: np.ndarray) -> Model:
     up = np.where((up < len(node)) & (node[np.minimum(up, len(node) - 1)] == parent), up, -1)
     total = np.where(up[:, None] >= 0, own[up], root)
     d = np.array([_discount(own[:, c]) for c in range(3)])
-    share = np.divide(np.maximum(own - d, 0), total, out=np.zeros_like(own), where=total > 0)
+    lean = np.array([SHARED, SHARED, 0.0])
+    share = np.divide(np.maximum(own - d, 0), total + lean, out=np.zeros_like(own), where=total + lean > 0)
     kinds = np.zeros((len(node) + 1, 3))
     for c in range(3):
         np.add.at(kinds[:, c], up, np.minimum(own[:, c], d[c]))  # place -1, the last, is the root
-    left = np.divide(kinds[:-1], own, out=np.ones_like(own), where=own > 0)
-    root_left = np.divide(kinds[-1], root, out=np.ones(3), where=root > 0)
+    left = np.divide(kinds[:-1] + lean, own + lean, out=np.ones_like(own), where=own + lean > 0)
+    root_left = np.divide(kinds[-1] + lean, root + lean, out=np.ones(3), where=root + lean > 0)
     # Letter pairs by continuation: in how many different beginnings a letter follows another.
     at = [(p, x) for p, x in zip(np.column_stack([np.zeros(len(words), np.uint8), letters[:, :-1]]).T, letters.T, strict=True)]
     pairs = np.zeros((256, 256))
@@ -174,23 +191,23 @@ def fit_counts(words: list[bytes], counts: np.ndarray) -> Model:
         np.add.at(pairs, (p[alive][first], x[alive][first]), 1)
     single = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 128)
     pairs = (np.maximum(pairs - 0.75, 0) + (0.75 * (pairs > 0).sum(axis=1, keepdims=True) + 1e-3) * single) / (pairs.sum(axis=1, keepdims=True) + 1e-3)
-    return Model(node, share.astype(np.float32), left.astype(np.float32), root_left, pairs.astype(np.float32), np.zeros(6))
+    return Model(node, share.astype(np.float32), left.astype(np.float32), root_left, pairs.astype(np.float32), np.zeros(3 + len(TELLING)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 60) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method."""
-    w = np.zeros(x.shape[1])
+def fit_logistic(x: np.ndarray, y: np.ndarray, one_weight: float = 1.0, penalty: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method; rows with y = 1 weigh ``one_weight``."""
+    w, v = np.zeros(x.shape[1]), np.where(y == 1, one_weight, 1.0)
     ridge = penalty * np.eye(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (v * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge, x.T @ (v * (y - p)) - ridge @ w)
         w += step
         if np.abs(step).max() < 1e-7:
             break
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 3000, max_ordinary: int = 6000) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_toxic: int = 3000, max_ordinary: int = 6000, toxic_weight: float = 2.0) -> Model | None:
     """A model from a bounded sample of labelled rows; ``learn_from`` is a condition on the label table's id."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -228,9 +245,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, learn_from: Column, id_col: str =
     rows = sample.where("late").select("y", "text").mapInArrow(late, "y int, x array<double>").toArrow()
     shared.unpersist()
     if len(rows) == 0 or len(set(rows["y"].to_pylist())) < 2:
-        model.weights = np.array([-3.0, 0, 1, 0, 0, 0])
+        model.weights = np.array([-3.0, 0, 1, *[0.0] * len(TELLING)])
     else:
-        model.weights = fit_logistic(np.array(rows["x"].to_pylist()), np.array(rows["y"].to_pylist()))
+        model.weights = fit_logistic(np.array(rows["x"].to_pylist()), np.array(rows["y"].to_pylist()), toxic_weight)
     return model
 
 
