@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="anchorline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -48,6 +50,15 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Arrow batches of all operators: the same bounds everywhere, so that a query built later changes nothing for one built before.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 

@@ -11,15 +11,20 @@ from anchorline.llm.common import stored
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an undirected graph; root is one node of its component.
 
-    Each node first takes the smallest of itself and its neighbours, then the graph is
-    contracted to these and solved again: every level at least halves the nodes that
-    still have edges. Nothing is gathered; each level is a written table.
+    Each node first takes the one of itself and its neighbours whose hash is smallest, then
+    the graph is contracted to these and solved again. Hashes are new at each level, so a
+    third of the nodes that still have edges remain in the mean, paths and stars alike.
+    Nothing is gathered; each level is a written table.
     """
     edges = stored(edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b")).distinct())
     answer: DataFrame | None = None
+    level = 0
     while not edges.isEmpty():
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        smaller = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")).withColumnRenamed("a", "node"))
+        ranked = lambda c: F.struct(F.xxhash64(c, F.lit(level)).alias("h"), F.col(c).alias("x"))  # noqa: E731, B023
+        least = both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
+        smaller = stored(least.select(F.col("a").alias("node"), F.least("m", ranked("a"))["x"].alias("to")))
+        level += 1
         to_a, to_b = smaller.select(F.col("node").alias("a"), F.col("to").alias("ta")), smaller.select(F.col("node").alias("b"), F.col("to").alias("tb"))
         contracted = edges.join(to_a, "a").join(to_b, "b").where("ta != tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct()
         if answer is None:

@@ -8,13 +8,16 @@ register-wise maxima. Classes that agree in all registers of a band meet in a bu
 
 Buckets are not expanded into pairs. In each round one class of every component of a
 bucket is compared with one of the bucket's largest component; links found join the
-components. Pairs are estimated jointly from both sketches by maximum likelihood and
-what may reach the threshold is decided on the full sets. After the rounds, each class
-outside its bucket's largest component meets all classes of other components there: a
-pair comes out of that join once, and only if sizes and odd sketches (2,048 parity bits
-of the sets, from which the number of differing shingles is known closely) leave the
-threshold within reach. So every candidate pair is either inside one component or has
-been decided.
+components. After the rounds, each class outside its bucket's largest component meets
+all classes of other components there: a pair comes out of that join once, and only if
+sizes and odd sketches (2,048 parity bits of the sets, from which the number of differing
+shingles is known closely) leave the threshold within reach. So every candidate pair is
+either inside one component or has been decided. A true link fails the odd sketches with
+a probability under 3e-7 (five deviations); ``odd_deviations=None`` does without them.
+
+Pairs are estimated jointly from both sketches by maximum likelihood first; what may
+reach the threshold is decided on full sets, which are made again from the texts, move
+once, to their pair's second member, and are stored nowhere.
 
 Defined cases: null and empty texts, and texts without words, have an empty set and
 are linked with nothing; with fewer than ``k`` words the whole sequence is the one
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import bound_batches, stored
+from anchorline.llm.common import bound_batches, discard, stored
 from anchorline.llm.components import components
 from anchorline.llm.words import U, mix, pieces, shingle_sets
 
@@ -39,6 +42,8 @@ from anchorline.llm.words import U, mix, pieces, shingle_sets
 LOG_BASE, RATE, TOP = float(np.log(1.001)), 20.0, 65535
 #: Ids that may be broadcast: a table of at most so many rows of 24 bytes.
 BROADCAST_ROWS = 1_000_000
+#: Shingles of first members that go to one group of a second member.
+GROUP_SHINGLES = 2_000_000
 #: Bits of the odd sketch of a class that shares a bucket.
 ODD_BITS = 2048
 
@@ -84,18 +89,18 @@ def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd).view(np.int64).reshape(len(sets), -1)
 
 
-def odd_limit(total: Column, percent: int) -> Column:
+def odd_limit(total: Column, percent: int, deviations: float = 5) -> Column:
     """The most bits in which two sets of ``total`` shingles together differ if their similarity is ``percent``.
 
     Such sets differ in ``d`` shingles at most; these fall on ODD_BITS bits, and the number
-    of odd ones has this mean and variance. Five deviations and two bits are added.
+    of odd ones has this mean and variance. So many deviations and two bits are added.
     """
     n = float(ODD_BITS)
     d = F.floor(total * (100 - percent) / (100 + percent))
     q, r = F.pow(F.lit(1 - 2 / n), d), F.pow(F.lit(1 - 4 / n), d)
     p = (1 - q) / 2
     spread = n * p * (1 - p) + n * (n - 1) * ((1 - 2 * q + r) / 4 - p * p)
-    return n * p + 5 * F.sqrt(F.greatest(spread, F.lit(0.0))) + 2
+    return n * p + deviations * F.sqrt(F.greatest(spread, F.lit(0.0))) + 2
 
 
 def merge_sketches(a: bytes, b: bytes) -> bytes:
@@ -128,63 +133,97 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, k: int, registers: in
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n long, fp binary, sketch binary")
 
 
-def _full_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(fp, n, sketch, shingles, odd) of the given classes, read again from one document of each."""
+def _of_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts of the documents named by ``first``, beside all columns of ``classes``."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # Ids go by broadcast only where their number is known to be small.
+    small = F.broadcast(classes) if classes.count() <= BROADCAST_ROWS else classes
+    return texts.join(small, texts["id"].eqNullSafe(small["first"])).drop("id", "first")
+
+
+def _odd(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(fp, odd): the odd sketches of the given classes (fp, first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, words in pieces(b, "text", lower=True):
-                sets = [s for s in shingle_sets(words, k) if len(s)]
-                if sets:
-                    made = [pa.array(fingerprints(sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(list(odd_sketches(sets)), pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(made, ["fp", "shingles", "odd"])
-
-    ids = stored(classes.select("first").distinct())
-    small = ids.count() <= BROADCAST_ROWS
-    chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    chosen = chosen.join(F.broadcast(ids) if small else ids, chosen["id"].eqNullSafe(ids["first"]), "left_semi")
-    sets = chosen.select("text").mapInArrow(run, "fp binary, shingles array<bigint>, odd array<bigint>")
-    own = sets.join(classes.select("fp", "n", "sketch"), "fp")
+                sets = shingle_sets(words, k)
+                mine = [i for i, (x, y) in enumerate(zip(fingerprints(sets), part.column(1).to_pylist(), strict=True)) if x is not None and x == y]
+                if mine:
+                    yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(mine)), pa.array(list(odd_sketches([sets[i] for i in mine])), pa.list_(pa.int64()))], ["fp", "odd"])
+
     # Several documents may share the id of a class's first one, or its set: one row of each class stays.
-    return own.groupBy("fp").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles"), F.first("odd").alias("odd"))
+    return _of_classes(docs, classes, id_col, text_col).mapInArrow(run, "fp binary, odd array<bigint>").groupBy("fp").agg(F.first("odd").alias("odd"))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, margin: float) -> DataFrame:
-    """Pairs whose full sets reach the threshold; sets are compared where the joint estimate comes within ``margin`` of it."""
-    a, b = (sets.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("shingles").alias(f"x{x}")) for x in "ab")
+def _probable(pairs: DataFrame, near: DataFrame, percent: int, margin: float) -> DataFrame:
+    """Pairs (x, y, first_x, first_y, n_x) whose joint estimate comes within ``margin`` of the threshold."""
+    x, y = (near.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"), F.col("first").alias(f"first_{c}")) for c in "xy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             column = lambda c: t.column(t.schema.get_field_index(c))  # noqa: E731, B023
-            n = t.num_rows
-            if not n:
-                continue
-            registers = [np.frombuffer(b"".join(column(c).to_pylist()), ">u2").astype(np.int32).reshape(n, -1) for c in ("sa", "sb")]
-            sizes = [column(c).to_numpy() for c in ("na", "nb")]
-            linked = np.zeros(n, bool)
-            for i in np.flatnonzero(estimate(*registers, *(x.astype(float) for x in sizes)) >= percent / 100 - margin).tolist():
-                both = len(np.intersect1d(column("xa")[i].values.to_numpy(), column("xb")[i].values.to_numpy(), assume_unique=True))
-                linked[i] = both * 100 >= (int(sizes[0][i]) + int(sizes[1][i]) - both) * percent
-            yield pa.RecordBatch.from_arrays([column("a"), column("b")], ["a", "b"]).filter(pa.array(linked))
-
-    return pairs.join(b, "b").join(a, "a").mapInArrow(run, "a binary, b binary")
-
-
-def _across(open_: DataFrame, members: DataFrame, owner: DataFrame, sets: DataFrame, buckets: Column, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket, each once, whose sizes and odd sketches allow the threshold."""
+            if t.num_rows:
+                registers = [np.frombuffer(b"".join(column(c).to_pylist()), ">u2").astype(np.int32).reshape(t.num_rows, -1) for c in ("s_x", "s_y")]
+                keep = estimate(*registers, *(column(c).to_numpy().astype(float) for c in ("n_x", "n_y"))) >= percent / 100 - margin
+                yield t.select(["x", "y", "first_x", "first_y", "n_x"]).filter(pa.array(keep))
+
+    return pairs.join(x, "x").join(y, "y").mapInArrow(run, "x binary, y binary, first_x long, first_y long, n_x long")
+
+
+def _links(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(a, b): pairs whose full sets reach the threshold. Each first member's set goes to its pair's second member.
+
+    A second member with many partners is dealt to several groups, each of ``GROUP_SHINGLES`` shingles.
+    """
+    hubs = pairs.groupBy("y").agg(F.first("first_y").alias("first"), F.ceil(F.sum("n_x") / GROUP_SHINGLES).cast("int").alias("parts"))
+    dealt = pairs.join(hubs.select("y", "parts"), "y").select(F.col("x").alias("fp"), F.col("first_x").alias("first"), F.col("y").alias("hub"), F.pmod(F.xxhash64("x"), "parts").cast("int").alias("part"))
+    whole = hubs.select(F.col("y").alias("fp"), "first", F.col("y").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, words in pieces(b, "text", lower=True):
+                sets = shingle_sets(words, k)
+                mine = [i for i, (x, y) in enumerate(zip(fingerprints(sets), part.column(1).to_pylist(), strict=True)) if x is not None and x == y]
+                names = part.select(["fp", "hub", "part"]).take(pa.array(mine, pa.int64()))
+                for i in range(0, len(mine), 256):
+                    some = names.slice(i, 256)
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array([sets[j].view(np.int64) for j in mine[i : i + 256]], pa.list_(pa.int64()))], ["fp", "hub", "part", "shingles"])
+
+    def decide(t: pa.Table) -> pa.Table:
+        fp, hub, sets = t["fp"].to_pylist(), t["hub"][0].as_py(), t["shingles"].combine_chunks()
+        known = sets[fp.index(hub)].values.to_numpy()
+        found = set()
+        for i, x in enumerate(fp):
+            if x != hub and x not in found:
+                own = sets[i].values.to_numpy()
+                both = len(np.intersect1d(own, known, assume_unique=True))
+                if both * 100 >= (len(own) + len(known) - both) * percent:
+                    found.add(x)
+        return pa.table({"a": pa.array(sorted(found), pa.binary()), "b": pa.array([hub] * len(found), pa.binary())})
+
+    texts = _of_classes(docs, stored(dealt.unionByName(whole)), id_col, text_col)
+    return texts.mapInArrow(sets_of, "fp binary, hub binary, part int, shingles array<bigint>").groupBy("hub", "part").applyInArrow(decide, "a binary, b binary")
+
+
+def _across(open_: DataFrame, members: DataFrame, owner: DataFrame, facts: DataFrame, buckets: Column, percent: int, deviations: float | None) -> DataFrame:
+    """Pairs (x, y) of different components in one bucket, each once, whose sizes and odd sketches allow the threshold."""
     words = range(ODD_BITS // 64)
-    facts = sets.select("fp", "n", buckets.alias("all"), *[F.get("odd", F.lit(i)).alias(f"p{i}") for i in words])
+    facts = facts.select("fp", "n", buckets.alias("all"), *[F.get("odd", F.lit(i)).alias(f"p{i}") for i in words])
     most = open_.where("comp = most.comp").select("bucket", F.col("comp").alias("top"))
-    every = members.join(owner, "fp").join(facts, "fp").join(most, "bucket")
+    # Only buckets that still hold several components are looked at.
+    every = members.join(most, "bucket").join(owner, "fp").join(facts, "fp")
     right = every.select("bucket", *[F.col(c).alias(f"r_{c}") for c in every.columns if c not in ("bucket", "top", "band")])
     apart = sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"r_p{i}"))) for i in words[1:]), F.bit_count(F.col("p0").bitwiseXOR(F.col("r_p0"))))
-    near = (F.least("n", "r_n") * 100 >= F.greatest("n", "r_n") * percent) & (apart <= odd_limit(F.col("n") + F.col("r_n"), percent))
+    near = F.least("n", "r_n") * 100 >= F.greatest("n", "r_n") * percent
+    if deviations is not None:
+        near = near & (apart <= odd_limit(F.col("n") + F.col("r_n"), percent, deviations))
     # Two classes outside the largest component meet from either side: one side is enough.
     once = (F.col("r_comp") == F.col("top")) | (F.col("fp") < F.col("r_fp"))
     first = ~F.exists(F.slice(F.arrays_zip(F.col("all").alias("x"), F.col("r_all").alias("y")), F.lit(1), F.col("band")), lambda z: z["x"] == z["y"])
     left = every.where("comp != top").withColumnRenamed("bucket", "l_bucket")
     met = left.join(right, (F.col("l_bucket") == F.col("bucket")) & (F.col("comp") != F.col("r_comp")) & once & near & first)
-    return met.select(F.least("fp", "r_fp").alias("a"), F.greatest("fp", "r_fp").alias("b"))
+    return met.select(F.col("fp").alias("x"), F.col("r_fp").alias("y"))
 
 
 def near_duplicates(
@@ -198,6 +237,7 @@ def near_duplicates(
     band: int = 4,
     margin: float = 0.2,
     rounds: int = 2,
+    odd_deviations: float | None = 5,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -210,9 +250,8 @@ def near_duplicates(
     places = classes.select("fp", F.posexplode(bands).alias("band", "bucket"))
     shared = places.groupBy("bucket").count().where("count > 1").select("bucket")
     members = stored(places.join(shared, "bucket").select("bucket", "band", "fp"))
-    near = classes.join(members.select("fp").distinct(), "fp")
-    sets = stored(_full_sets(docs, near.select("fp", "first", "n", "sketch"), id_col, text_col, k))
-    owner = sets.select("fp", F.col("fp").alias("comp"))
+    near = stored(classes.join(members.select("fp").distinct(), "fp").select("fp", "first", "n", "sketch"))
+    owner = near.select("fp", F.col("fp").alias("comp"))
 
     for turn in range(rounds + 1):
         # The first round has one pivot for a group in all its buckets; later ones a fresh one for each bucket.
@@ -227,13 +266,19 @@ def near_duplicates(
         open_ = groups.join(buckets, "bucket")
         if turn < rounds:
             found = open_.where("comp != most.comp").select(F.col("one.fp").alias("x"), F.col("most.one.fp").alias("y"))
-            pairs = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            pairs = found.distinct()
         else:
-            pairs = _across(stored(open_.select("bucket", "comp", "most")), members, owner, sets, bands, percent)
-        links = stored(_links(stored(pairs), sets, percent, margin))
+            still = stored(open_.select("bucket", "comp", "most"))
+            met = members.join(still.select("bucket").distinct(), "bucket").select("fp").distinct()
+            odd = _odd(docs, stored(near.select("fp", "first").join(met, "fp")), id_col, text_col, k)
+            pairs = _across(still, members, owner, near.join(odd, "fp"), bands, percent, odd_deviations)
+        probable = stored(_probable(pairs, near, percent, margin))
+        links = stored(_links(docs, probable, id_col, text_col, k, percent))
         to_a, to_b = owner.select(F.col("fp").alias("a"), F.col("comp").alias("ca")), owner.select(F.col("fp").alias("b"), F.col("comp").alias("cb"))
         root = components(links.join(to_a, "a").join(to_b, "b"), "ca", "cb")
-        owner = stored(owner.join(root.withColumnRenamed("node", "comp"), "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp")))
+        before, owner = owner, stored(owner.join(root.withColumnRenamed("node", "comp"), "comp", "left").select("fp", F.coalesce("root", "comp").alias("comp")))
+        discard(probable, links, *([before] if turn else []))
+    discard(members, near)
 
     named = classes.select("fp", "first").join(owner, "fp")
     names = named.groupBy("comp").agg(F.min("first").alias("component"), F.count(F.lit(1)).alias("size")).where("size > 1")

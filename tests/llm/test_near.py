@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from anchorline.llm.common import stored
 from anchorline.llm.components import components
 from anchorline.llm.decontaminate import decontaminate, mark_contamination
 from anchorline.llm.neardup import estimate, merge_sketches, near_duplicates, sketches
@@ -44,6 +45,18 @@ def brute(rows, k, percent=80):
     return Counter(out)
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """A path with ascending ids takes rounds in the order of its logarithm."""
+    from anchorline.llm import components as module
+
+    written = []
+    monkeypatch.setattr(module, "stored", lambda df: written.append(1) or stored(df))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert len({got[i] for i in range(201)}) == 1 and got[500] == got[501] != got[0]
+    assert len(written) < 2 * 16
+
+
 def test_edges(edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.collect()]
     for k in (2, 5):
