@@ -105,6 +105,15 @@ def _five_words(source: str) -> str:
 
 
 _RULES = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES)
+_TREE_LEVELS = "".join(
+    f"""n{i} AS MATERIALIZED (SELECT host, gen, raw[{i}] AS segment, sum(pages) AS here FROM l{i - 1} WHERE len(raw) >= {i} GROUP BY ALL),
+w{i} AS (SELECT host, gen FROM n{i} GROUP BY host, gen HAVING count(*) >= 16 AND sum(here) < 4 * count(*)),
+s{i} AS (SELECT n{i}.host, n{i}.gen, segment FROM n{i} JOIN w{i} ON n{i}.host = w{i}.host AND n{i}.gen = w{i}.gen WHERE here < 16),
+l{i} AS MATERIALIZED (SELECT l.host, raw, pages, n, bad, CASE WHEN len(raw) < {i} THEN l.gen ELSE list_append(l.gen, CASE WHEN s.segment IS NULL THEN raw[{i}] ELSE '*' END) END AS gen
+FROM l{i - 1} l LEFT JOIN s{i} s ON l.host = s.host AND l.gen = s.gen AND raw[{i}] = s.segment),
+"""
+    for i in range(1, 13)
+)
 _ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,18 +127,22 @@ CAST(sum(length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) +
 WITH rules(domain, start, rule, verdict) AS (VALUES {_RULES}),
 u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS said FROM u JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start) GROUP BY page_id),
-b AS (SELECT u.*, f.rule, f.said, list_transform(string_split(path, '/'), lambda s: CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{{16,}}$') THEN '{{h}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END) AS raw FROM u LEFT JOIN f USING (page_id)),
-leaf AS (SELECT host, raw, count(*) AS pages, count(said) AS labelled, count(*) FILTER (WHERE said = 'block') AS bad FROM b GROUP BY host, raw),
-edge AS (SELECT host, raw, pages, pos, raw[pos] AS segment, raw[1:pos - 1] AS prefix FROM (SELECT *, unnest(range(1, len(raw) + 1)) AS pos FROM leaf)),
-node AS (SELECT host, prefix, segment, sum(pages) AS pages FROM edge GROUP BY host, prefix, segment),
-wide AS (SELECT host, prefix FROM node GROUP BY host, prefix HAVING count(*) >= 16 AND sum(pages) < 4 * count(*)),
-gen AS (SELECT e.host, e.raw, list(CASE WHEN w.host IS NULL THEN segment ELSE '*' END ORDER BY pos) AS t FROM edge e LEFT JOIN wide w ON w.host = e.host AND w.prefix = e.prefix GROUP BY e.host, e.raw),
-named AS (SELECT host, raw, array_to_string(t, '/') AS template, array_to_string(t[1:len(t) - 1], '/') AS branch FROM gen),
-tpl AS (SELECT host, branch, template, sum(labelled) AS n, sum(bad) AS bad FROM leaf JOIN named USING (host, raw) GROUP BY host, branch, template),
-both2 AS (SELECT *, sum(n) OVER (PARTITION BY host, branch) AS bn, sum(bad) OVER (PARTITION BY host, branch) AS bb FROM tpl),
-m AS (SELECT *, n > 0 AND abs(bad / nullif(n, 0) - bb / nullif(bn, 0)) <= 2.0 * sqrt((bb / nullif(bn, 0)) * (1 - bb / nullif(bn, 0)) / nullif(n, 0) + 1e-9) AS joined FROM both2),
-j AS (SELECT host, template, (CASE WHEN joined THEN bb ELSE bad END + 2.0::DOUBLE) / (CASE WHEN joined THEN bn ELSE n END + 4.0::DOUBLE) AS purity FROM m)
-SELECT page_id, host, path, rule, template, purity, coalesce(said, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict FROM b JOIN named USING (host, raw) JOIN j USING (host, template)
+x AS (SELECT u.*, f.rule, f.said, string_split(path, '/') AS p FROM u LEFT JOIN f USING (page_id)),
+b AS MATERIALIZED (SELECT page_id, host, path, rule, said, list_transform(CASE WHEN len(p) > 12 THEN p[1:11] || [array_to_string(p[12:], '/')] ELSE p END,
+lambda s: CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{{16,}}$') THEN '{{h}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END) AS raw FROM x),
+l0 AS MATERIALIZED (SELECT host, raw, count(*) AS pages, count(said) AS n, count(*) FILTER (WHERE said = 'block') AS bad, CAST([] AS VARCHAR[]) AS gen FROM b GROUP BY host, raw),
+{_TREE_LEVELS}
+tpl AS MATERIALIZED (SELECT host, gen, sum(n) AS n, sum(bad) AS bad FROM l12 GROUP BY host, gen),
+pre AS (SELECT *, gen[1:level] AS prefix, gen[1:level - 1] AS parent FROM (SELECT *, unnest(range(1, len(gen) + 1)) AS level FROM tpl)),
+node AS MATERIALIZED (SELECT host, level, parent, prefix, sum(n) AS n, sum(bad) AS bad FROM pre GROUP BY ALL),
+rate AS (SELECT host, level, parent, sum(bad) / sum(n) AS p, count(*) AS labelled FROM node WHERE n > 0 GROUP BY ALL),
+tested AS MATERIALIZED (SELECT node.*, labelled, coalesce(n > 0 AND abs(bad / nullif(n, 0) - p) <= 2.0 * sqrt(p * (1 - p) / nullif(n, 0) + 1e-9), false) AS alike FROM node JOIN rate USING (host, level, parent)),
+pool AS (SELECT host, level, parent, sum(n) AS pool_n, sum(bad) AS pool_bad, count(*) AS merged FROM tested WHERE alike GROUP BY ALL),
+evidence AS (SELECT host, prefix, n > 0 AS own, CASE WHEN alike OR n = 0 THEN pool_n ELSE n END AS en, CASE WHEN alike OR n = 0 THEN pool_bad ELSE bad END AS eb
+FROM tested LEFT JOIN pool USING (host, level, parent) WHERE n > 0 OR (merged >= 2 AND merged = labelled)),
+found AS (SELECT host, gen, arg_max(en, level) AS en, arg_max(eb, level) AS eb FROM pre JOIN evidence USING (host, prefix) WHERE NOT own OR level = len(gen) GROUP BY host, gen),
+j AS (SELECT host, raw, array_to_string(gen, '/') AS template, (coalesce(eb, 0) + 2.0::DOUBLE) / (coalesce(en, 0) + 4.0::DOUBLE) AS purity FROM l12 LEFT JOIN found USING (host, gen))
+SELECT page_id, host, path, rule, template, purity, coalesce(said, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict FROM b JOIN j USING (host, raw)
 """,
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM documents),

@@ -173,6 +173,61 @@ def test_urls(spark):
     assert urltree.filter_urls(df.where("false"), rules=URL_RULES).count() == 0
 
 
+def python_tree(urls, min_children=16, per_child=4.0):
+    """Templates of (host, segments) by a recursive tree, for literal segments."""
+    out = {}
+
+    def walk(members, prefix, depth):
+        ended = [m for m in members if len(m[1]) == depth]
+        out.update({m: tuple(prefix) for m in ended})
+        children = defaultdict(list)
+        for m in members:
+            if len(m[1]) > depth:
+                children[m[1][depth]].append(m)
+        pages = {c: sum(urls[m] for m in ms) for c, ms in children.items()}
+        wide = len(children) >= min_children and sum(pages.values()) < per_child * len(children)
+        groups = defaultdict(list)
+        for c, ms in children.items():
+            groups["*" if wide and pages[c] < min_children else c].extend(ms)
+        for c, ms in groups.items():
+            walk(ms, [*prefix, c], depth + 1)
+
+    for host in {h for h, _ in urls}:
+        walk([m for m in urls if m[0] == host], [], 0)
+    return out
+
+
+def test_url_tree_level_by_level(spark):
+    """What lies below a wildcard is counted together: users times titles are one template; frequent children stay."""
+    import random
+
+    rng = random.Random(1)
+    urls = [f"http://h.com/user/{a}{b}/post/{c}{d}" for a, b, c, d in ("".join(rng.choices("abcdefghijklmnop", k=4)) for _ in range(400))]
+    urls += [f"http://h.com/user/admin/post/{c}x" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"http://g.org/{c}/{d}" for c in "abc" for d in "abcdefghijklmnopqrstuvw"]
+    urls += ["http://h.com", "http://h.com/", None, "http://h.com/user//post/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.host, tuple(r.path.split("/"))): r.template for r in urltree.filter_urls(df).collect()}
+    counted = Counter((r.host, tuple(r.path.split("/"))) for r in urltree.filter_urls(df).collect())
+    want = python_tree(counted)
+    assert got == {m: "/".join(t) for m, t in want.items()}
+    assert {"/user/*/post/*", "/user/admin/post/*"} <= set(got.values())
+    deep = spark.createDataFrame([(1, "http://h.com/" + "/".join("x" * 40)), (2, "http://h.com/" + "/".join("x" * 39) + "/y")], "page_id long, url string")
+    assert len({r.template for r in urltree.filter_urls(deep).collect()}) == 2
+
+
+def test_url_labels_and_merged_branches(spark):
+    """A table of labels trains templates; unlabelled branches follow siblings that agree, and no others."""
+    shops = [f"http://s.com/{c}/item{d}" for c in ("ab", "cd", "ef") for d in "abcdefgh"]
+    mixed = [f"http://m.com/{c}/item{d}" for c in ("ab", "cd", "ef") for d in "abcdefgh"]
+    labels = [(u, True) for u in shops[:16]] + [(u, True) for u in mixed[:8]] + [(u, False) for u in mixed[8:16]] + [(None, None)]
+    alone = [f"http://a.com/{c}/item{d}" for c in ("ab", "ef") for d in "abcdefgh"]
+    labels += [(u, True) for u in alone[:8]]
+    df = spark.createDataFrame(list(enumerate(shops + mixed + alone)), "page_id long, url string")
+    by = {r.url: r.verdict for r in urltree.filter_urls(df, labels=spark.createDataFrame(labels, "url string, bad boolean")).collect()}
+    assert all(by[u] == "block" for u in shops + mixed[:8] + alone[:8])
+    assert all(by[u] == "allow" for u in mixed[8:] + alone[8:])
+
+
 def test_url_branches(spark):
     """A branch whose labelled pages are bad is rejected as a whole; a mixed or unlabelled one is not."""
     urls = [f"http://h.com/bad/{i}" for i in range(40)] + [f"http://h.com/good/{i}" for i in range(40)] + [f"http://h.com/new/{i}" for i in range(40)]
