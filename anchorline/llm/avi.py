@@ -11,9 +11,14 @@ Shots: the histogram difference of neighbouring frames is compared with the mean
 ``k`` deviations of the clip's own differences (and a floor); the runs between cuts
 are timed clips.
 
+Files of other writers are read as well: their index, chunk names and frames; a frame of
+another layout is decoded by its own tables (baseline, grey or with chroma, whose luma
+is taken) to samples, and such a file has frames and clips but no payload.
+
 Defined cases: a null or empty text is one block of zeros; payloads are padded with
-zero bytes to whole blocks; equal texts give equal files; a file that is cut short or
-has no index raises ``ValueError``.
+zero bytes to whole blocks; equal texts give equal files; null media gives a row of
+nulls; a file that is cut short, has no index or frames that cannot be decoded gives a
+row of nulls with the reason in ``error`` (``read_avi`` raises ``ValueError``).
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from anchorline.llm.common import bound_batches
 
@@ -74,7 +80,7 @@ def encode_frames(payload: bytes) -> list[bytes]:
 
 
 def decode_frame(frame: bytes) -> bytes:
-    """The payload bytes of one frame."""
+    """The payload bytes of one frame of this module's layout."""
     if not frame.startswith(_HEAD) or not frame.endswith(b"\xff\xd9"):
         raise ValueError("not a frame of this layout")
     scan = _RESTART.sub(b"", frame[len(_HEAD) : -2]).replace(b"\xff\x00", b"\xff")
@@ -82,6 +88,115 @@ def decode_frame(frame: bytes) -> bytes:
     return np.packbits(bits[:, 1:]).tobytes()
 
 
+class _Bits:
+    """Bits of one restart interval, read from the front."""
+
+    def __init__(self, data: bytes):
+        self.value, self.left = int.from_bytes(data.replace(b"\xff\x00", b"\xff")), 8 * len(data.replace(b"\xff\x00", b"\xff"))
+
+    def take(self, n: int) -> int:
+        if n > self.left:
+            raise ValueError("a frame is cut short")
+        self.left -= n
+        out = (self.value >> self.left) & ((1 << n) - 1)
+        self.value &= (1 << self.left) - 1
+        return out
+
+    def symbol(self, codes: dict[tuple[int, int], int]) -> int:
+        code = 0
+        for n in range(1, 17):
+            code = (code << 1) | self.take(1)
+            if (n, code) in codes:
+                return codes[n, code]
+        raise ValueError("a code that no table has")
+
+    def number(self, size: int) -> int:
+        v = self.take(size) if size else 0
+        return v if not size or v >> (size - 1) else v - (1 << size) + 1
+
+
+def _tables(frame: bytes) -> dict:
+    """Quantisers, codes, components, size and restart interval of a baseline frame, and where its scan lies."""
+    out: dict = {"quant": {}, "codes": {}, "interval": 0, "at": None}
+    at = 2
+    if frame[:2] != b"\xff\xd8":
+        raise ValueError("not a JPEG frame")
+    while at + 4 <= len(frame) and out["at"] is None:
+        marker, size = frame[at + 1], struct.unpack_from(">H", frame, at + 2)[0]
+        body = frame[at + 4 : at + 2 + size]
+        if frame[at] != 0xFF or len(body) != size - 2:
+            raise ValueError("a frame is cut short")
+        if marker == 0xDB:
+            while body:
+                wide = 1 + (body[0] >> 4)
+                out["quant"][body[0] & 15] = np.frombuffer(body[1 : 1 + 64 * wide], ">u2" if wide == 2 else np.uint8).astype(np.float32)
+                body = body[1 + 64 * wide :]
+        elif marker == 0xC4:
+            while body:
+                counts, code, i, codes = body[1:17], 0, 17, {}
+                for n in range(16):
+                    for _ in range(counts[n]):
+                        codes[n + 1, code] = body[i]
+                        code, i = code + 1, i + 1
+                    code <<= 1
+                out["codes"][body[0] >> 4, body[0] & 15] = codes
+                body = body[i:]
+        elif marker == 0xC0:
+            bits, out["height"], out["width"], n = struct.unpack_from(">BHHB", body)
+            if bits != 8:
+                raise ValueError("not 8-bit samples")
+            out["parts"] = {body[6 + 3 * i]: (body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)}
+        elif 0xC1 <= marker <= 0xCF and marker not in (0xC8, 0xCC):
+            raise ValueError("not a baseline frame")
+        elif marker == 0xDD:
+            out["interval"] = struct.unpack(">H", body)[0]
+        elif marker == 0xDA:
+            out["scan"] = [(body[1 + 2 * i], body[2 + 2 * i] >> 4, body[2 + 2 * i] & 15) for i in range(body[0])]
+            out["at"] = at + 2 + size
+        at += 2 + size
+    if out["at"] is None or "parts" not in out:
+        raise ValueError("a frame without a scan")
+    return out
+
+
+def decode_samples(frame: bytes) -> np.ndarray:
+    """The luma samples (height x width) of a baseline frame, by the tables it carries."""
+    t = _tables(frame)
+    luma = next(iter(t["parts"]))
+    across, down = (max(x[i] for x in t["parts"].values()) for i in (0, 1))
+    h, v, q = t["parts"][luma]
+    if len(t["scan"]) == 1:  # one component: blocks in rows, whatever its sampling
+        across = down = h = v = 1
+    wide, high = -(-t["width"] // (8 * across)), -(-t["height"] // (8 * down))
+    plane = np.zeros((high * v * 8, wide * h * 8), np.float32)
+    end = frame.rfind(b"\xff\xd9")
+    runs = _RESTART.split(frame[t["at"] : end if end >= 0 else len(frame)])
+    each = t["interval"] or wide * high
+    for r, data in enumerate(runs):
+        bits, before = _Bits(data), dict.fromkeys(t["parts"], 0)
+        for unit in range(r * each, min((r + 1) * each, wide * high)):
+            for part, dc, ac in t["scan"]:
+                ph, pv = (1, 1) if len(t["scan"]) == 1 else t["parts"][part][:2]
+                for block in range(ph * pv):
+                    c = np.zeros(64, np.float32)
+                    before[part] += bits.number(bits.symbol(t["codes"][0, dc]))
+                    c[0], k = before[part], 1
+                    while k < 64:
+                        s = bits.symbol(t["codes"][1, ac])
+                        if s == 0:
+                            break
+                        k += s >> 4
+                        if s & 15 and k < 64:
+                            c[k] = bits.number(s & 15)
+                        k += 1
+                    if part == luma:
+                        flat = np.zeros(64, np.float32)
+                        flat[ZIGZAG] = c * t["quant"][q]
+                        y, x = (unit // wide * pv + block // ph) * 8, (unit % wide * ph + block % ph) * 8
+                        plane[y : y + 8, x : x + 8] = _COSINES @ flat.reshape(8, 8) @ _COSINES.T
+    return np.clip(plane[: t["height"], : t["width"]] + 128, 0, 255).astype(np.uint8)
+
+
 def samples(payload: bytes) -> np.ndarray:
     """8-bit samples of whole frames: (frames, blocks, 8, 8), at a quarter of full contrast so that few are clipped.
 
@@ -117,31 +232,38 @@ def write_avi(payload: bytes) -> bytes:
     return _chunk(b"RIFF", b"AVI " + head + info + _chunk(b"LIST", b"".join(movi)) + _chunk(b"idx1", b"".join(index)))
 
 
-def read_avi(data: bytes) -> tuple[list[bytes], int]:
-    """Frames named by the index, and the payload's length."""
+def read_avi(data: bytes) -> tuple[list[bytes], int | None, float]:
+    """Video frames named by the index, the payload's length (None in other writers' files) and frames a second."""
     if data[:4] != b"RIFF" or data[8:12] != b"AVI " or len(data) < 12:
         raise ValueError("not an AVI file")
     movi = index = length = None
+    rate = float(FPS)
     at, end = 12, 8 + struct.unpack_from("<I", data, 4)[0]
     while at + 8 <= min(end, len(data)):
         name, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
         kind = data[at + 8 : at + 12]
         if name == b"LIST" and kind == b"movi":
             movi = at + 8
+        elif name == b"LIST" and kind == b"hdrl" and data[at + 12 : at + 16] == b"avih":
+            rate = 1e6 / max(1, struct.unpack_from("<I", data, at + 20)[0])
         elif name == b"LIST" and kind == b"INFO" and data[at + 12 : at + 16] == b"ICMT":
             n = struct.unpack_from("<I", data, at + 16)[0]
             length = int(data[at + 20 : at + 20 + n])
         elif name == b"idx1":
             index = data[at + 8 : at + 8 + size]
         at += 8 + size + size % 2
-    if movi is None or index is None or length is None or end > len(data):
-        raise ValueError("an AVI file without frames, index or length")
+    if movi is None or index is None or end > len(data):
+        raise ValueError("an AVI file without frames or index, or cut short")
     frames = []
-    for name, _, offset, size in struct.iter_unpack("<4sIII", index):
-        if data[movi + offset : movi + offset + 4] != name:
+    for name, _, offset, size in struct.iter_unpack("<4sIII", index[: len(index) // 16 * 16]):
+        if name[2:] not in (b"dc", b"db") or not size:
+            continue
+        # Offsets count from the list's name, or in some files from the file's start.
+        at = next((x for x in (movi + offset, offset) if data[x : x + 4] == name), None)
+        if at is None:
             raise ValueError("the index does not fit the frames")
-        frames.append(data[movi + offset + 8 : movi + offset + 8 + size])
-    return frames, length
+        frames.append(data[at + 8 : at + 8 + size])
+    return frames, length, rate
 
 
 def shots(histograms: np.ndarray, k: float = 2.0, floor: float = 0.1) -> list[tuple[int, int]]:
@@ -159,6 +281,11 @@ def frame_histograms(payload: bytes, bins: int = 16) -> np.ndarray:
     return np.bincount(at.reshape(-1), minlength=len(s) * bins).reshape(len(s), bins) / s.shape[1]
 
 
+def sample_histograms(frames: list[np.ndarray], bins: int = 16) -> np.ndarray:
+    """Histograms of decoded frames of any size."""
+    return np.array([np.bincount(f.reshape(-1) >> 4, minlength=bins) / max(1, f.size) for f in frames]).reshape(len(frames), bins)
+
+
 def media_column(text: str | None) -> tuple[bytes, int]:
     """The stored file of a text and the text's length in bytes."""
     raw = (text or "").encode()
@@ -183,36 +310,43 @@ def encode_media(df: DataFrame, *, text_col: str = "text", out_col: str = "media
 CLIPS = "array<struct<start_s:double,end_s:double,n_frames:int>>"
 
 
+_READ = pa.struct([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("n_frames", pa.int32()), ("clips", pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64()), ("n_frames", pa.int32())]))), ("error", pa.string())])
+
+
+def media_facts(data: bytes | None, k: float = 2.0, floor: float = 0.1) -> dict:
+    """What one stored file holds; nulls and the reason where it can't be read."""
+    if data is None:
+        return {}
+    known = {"media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest()}
+    try:
+        frames, length, rate = read_avi(data)
+        if length is not None:
+            whole = b"".join(map(decode_frame, frames))
+            payload = whole[:length]
+            known |= {"payload_bytes": length, "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-BLOCK:])}
+            histograms = frame_histograms(whole)
+        else:
+            histograms = sample_histograms([decode_samples(f) for f in frames])
+    except (ValueError, KeyError, IndexError, struct.error) as e:
+        return known | {"error": str(e) or type(e).__name__}
+    found = shots(histograms, k, floor) if len(histograms) else []
+    return known | {"n_frames": len(frames), "clips": [{"start_s": a / rate, "end_s": b / rate, "n_frames": b - a} for a, b in found]}
+
+
 def read_media(df: DataFrame, *, media_col: str = "media", k: float = 2.0, floor: float = 0.1) -> DataFrame:
-    """The other columns plus what is read back: payload size, hash and tail, the file's size and hash, frames and timed clips."""
-    kept = [c for c in df.columns if c != media_col]
-    schema = f"payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, clips {CLIPS}"
-    full = df.select(*kept).schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
-
-    for f in _parse_datatype_string(schema).fields if isinstance(_parse_datatype_string(schema), StructType) else []:
-        full = full.add(f)
-
-    def one(data: bytes) -> dict:
-        frames, length = read_avi(data)
-        whole = b"".join(map(decode_frame, frames))
-        payload = whole[:length]
-        found = shots(frame_histograms(whole), k, floor)
-        return {
-            "payload_bytes": length, "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-BLOCK:]),
-            "media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest(), "n_frames": len(frames),
-            "clips": [{"start_s": a / FPS, "end_s": b / FPS, "n_frames": b - a} for a, b in found],
-        }
-
-    kinds = pa.struct([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("n_frames", pa.int32()), ("clips", pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64()), ("n_frames", pa.int32())])))])
+    """The other columns plus what is read back: payload size, hash and tail, the file's size and hash, frames, timed clips and errors."""
+    own = [f.name for f in _READ]
+    kept = [c for c in df.columns if c != media_col and c not in own]
+    read = f"payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, clips {CLIPS}, error string"
+    schema = StructType([*df.select(*kept).schema.fields, *StructType.fromDDL(read).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = pa.array([one(x) for x in b.column(b.schema.get_field_index(media_col)).to_pylist()], kinds)
+            made = pa.array([media_facts(x, k, floor) for x in b.column(b.schema.get_field_index(media_col)).to_pylist()], _READ)
             columns = [b.column(b.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, *made.flatten()], [*kept, *(f.name for f in kinds)])
+            yield pa.RecordBatch.from_arrays([*columns, *made.flatten()], [*kept, *own])
 
-    return df.where(F.col(media_col).isNotNull()).mapInArrow(run, full)
+    return df.mapInArrow(run, schema)
 
 
 def clip_rows(df: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @given(st.binary(min_size=0, max_size=5000))
 def test_avi_round_trip(raw):
     payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
-    frames, length = avi.read_avi(avi.write_avi(payload))
+    frames, length, rate = avi.read_avi(avi.write_avi(payload))
+    assert rate == avi.FPS
     assert b"".join(map(avi.decode_frame, frames))[:length] == payload
 
 
@@ -34,6 +35,70 @@ def test_avi_shots_and_errors():
             avi.read_avi(broken)
 
 
+def foreign_frame(blocks, width, height, quant):
+    """A grey baseline frame with flat code tables, from zigzag coefficients of its blocks."""
+    import struct
+
+    segment = lambda m, b: struct.pack(">BBH", 0xFF, m, len(b) + 2) + b
+    ac = [0, 0xF0, *(r << 4 | n for r in range(16) for n in range(1, 11))]
+    head = b"\xff\xd8" + segment(0xE0, b"JFIF\0") + segment(0xDB, b"\x00" + bytes(quant)) + segment(0xC0, struct.pack(">BHHB", 8, height, width, 1) + b"\x01\x11\x00")
+    head += segment(0xC4, b"\x00" + bytes([0] * 3 + [12] + [0] * 12) + bytes(range(12))) + segment(0xC4, b"\x10" + bytes([0] * 7 + [len(ac)] + [0] * 8) + bytes(ac)) + segment(0xDA, b"\x01\x01\x00\x00\x3f\x00")
+    size = lambda v: int(abs(v)).bit_length()
+    bits = lambda v: format(int(v) if v > 0 else int(v) + (1 << size(v)) - 1, f"0{size(v)}b") if v else ""
+    out, before = "", 0
+    for c in blocks:
+        d, before = c[0] - before, c[0]
+        out += format(size(d), "04b") + bits(d)
+        run = 0
+        for v in c[1 : max([i for i in range(64) if c[i]], default=0) + 1]:
+            if v == 0:
+                run += 1
+                continue
+            out += format(1, "08b") * (run // 16) + format(ac.index((run % 16) << 4 | size(v)), "08b") + bits(v)
+            run = 0
+        out += "" if c[63] else format(0, "08b")
+    out += "1" * (-len(out) % 8)
+    return head + int(out, 2).to_bytes(len(out) // 8).replace(b"\xff", b"\xff\x00") + b"\xff\xd9"
+
+
+def test_frames_of_other_writers(spark):
+    """Frames with other tables, sizes and no restarts; files without a payload length; broken ones give their reason."""
+    rng = np.random.default_rng(4)
+    quant = rng.integers(1, 9, 64)
+    shots, frames = [0] * 6 + [1] * 5, []
+    looks = []
+    for look in range(2):
+        c = np.where(rng.random((6, 64)) < 0.2, rng.integers(-30, 31, (6, 64)), 0)
+        c[:, 0] = rng.integers(-100, 100, 6) + 60 * (1 - 2 * look)
+        looks.append(c)
+    for look in shots:
+        frames.append(foreign_frame(looks[look].tolist(), 20, 14, quant.tolist()))
+    plane = np.zeros((16, 24))
+    flat = np.zeros((6, 64))
+    flat[:, avi.ZIGZAG] = looks[0] * quant
+    for i in range(6):
+        plane[i // 3 * 8 : i // 3 * 8 + 8, i % 3 * 8 : i % 3 * 8 + 8] = avi._COSINES @ flat[i].reshape(8, 8) @ avi._COSINES.T
+    assert np.abs(avi.decode_samples(frames[0]).astype(int) - np.clip(plane[:14, :20] + 128, 0, 255)).max() <= 1
+    ours = avi.write_avi(b"x" * 64)
+    at = ours.index(b"movi") - 8
+    movi = b"".join(avi._chunk(b"00dc", f) for f in frames)
+    index, place = b"", 4
+    import struct
+
+    for f in frames:
+        index += struct.pack("<4sIII", b"00dc", 0x10, place, len(f))
+        place += len(avi._chunk(b"00dc", f))
+    head = ours[12 : ours.index(b"LIST", ours.index(b"hdrl") + 200)].replace(b"ICMT", b"ICOP")
+    other = avi._chunk(b"RIFF", b"AVI " + head + avi._chunk(b"LIST", b"movi" + movi) + avi._chunk(b"idx1", index))
+    assert at > 0
+    df = spark.createDataFrame([(1, other), (2, None), (3, ours[:200]), (4, ours), (5, b"")], "doc_id long, media binary")
+    out = {r.doc_id: r for r in avi.read_media(df).collect()}
+    assert out[1].n_frames == 11 and [c.n_frames for c in out[1].clips] == [6, 5] and out[1].payload_bytes is None and out[1].error is None
+    assert out[2].media_bytes is None and out[2].error is None
+    assert out[3].error and out[3].n_frames is None and out[5].error
+    assert out[4].payload_bytes == 64 and out[4].error is None
+
+
 def test_media_rows(edge_docs, no_docs):
     out = avi.read_media(avi.encode_media(edge_docs))
     rows = {(r.doc_id, r.text): r for r in out.collect()}
@@ -98,6 +163,34 @@ def test_sum_of_squares_choice():
     assert levels.count.sum() == sum(map(len, levels.open))
 
 
+def test_fingerprints_select_layouts_row_by_row(spark):
+    """Rows of different layouts in one column, with extra fields, each by the hash of its own paths."""
+    import json
+
+    turns = [("user", "a"), ("assistant", "b")]
+    rows = [
+        {"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b", "weight": 1}], "id": 7},
+        {"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]},
+        {"prompt": "a", "completion": "b", "meta": {"x": [1]}},
+        {"instruction": "a", "input": "", "output": "b"},
+        {"instruction": "a", "output": "b"},
+        {"question": "a", "answer": "b", "text": None},
+    ]
+    odd = [{"q": 1}, [], "text", {"messages": []}, {"messages": [None, {"role": None, "content": "x"}]}, {"prompt": "only"}, {"instruction": "a", "input": "c", "output": "b"}]
+    texts = [json.dumps(x) for x in rows + odd] + [None, "", "{broken"]
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "id long, raw string, turns string")
+    out = {r.id: r for r in chat.turns_of_json(df, "raw").collect()}
+    assert len(out) == len(texts)
+    for i in range(len(rows)):
+        assert [(t.role, t.text) for t in out[i].turns] == turns, (i, out[i])
+    assert len({out[i].fingerprint for i in range(len(rows))}) == len(rows)
+    n = len(rows)
+    assert [out[n + i].layout for i in (0, 1, 2, 5)] == [None] * 4 and out[n].turns is None
+    assert out[n + 3].turns == [] and [(t.role, t.text) for t in out[n + 4].turns] == [("", "x")]
+    assert [t.text for t in out[n + 6].turns] == ["a", "c", "b"]
+    assert all(out[n + len(odd) + i].layout is None for i in range(3))
+
+
 def test_chat_query_round_trip(spark):
     rows = {r.conv_id: r for r in op2_chat_formatting(spark, "/root/testdata/sf0.001").collect()}
     data = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").orderBy("conv_id", "turn").collect()
