@@ -76,12 +76,24 @@ def fingerprint(paths: Sequence[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
+def table_of(mappings: Sequence[Mapping]) -> dict[str, Mapping]:
+    """Mappings by the fingerprint of their paths."""
+    return {fingerprint(m.paths): m for m in mappings}
+
+
 def select_mapping(schema: T.StructType, mappings: Sequence[Mapping] = MAPPINGS) -> Mapping:
-    """The mapping with the most fields whose fingerprint equals that of the schema's paths it names."""
-    there = field_paths(schema)
-    for m in sorted(mappings, key=lambda m: -len(m.paths)):
-        if fingerprint(m.paths) == fingerprint(sorted(there & set(m.paths))):
-            return m
+    """The mapping that the fingerprint of the schema's known paths names.
+
+    Paths that no mapping has are left out before hashing. Where several layouts lie in one
+    schema, the fingerprint is none of theirs, and the largest of them counts.
+    """
+    there, known = field_paths(schema), table_of(mappings)
+    own = there & {p for m in mappings for p in m.paths}
+    if (found := known.get(fingerprint(sorted(own)))) is not None:
+        return found
+    inside = [m for m in mappings if set(m.paths) <= own]
+    if inside:
+        return max(inside, key=lambda m: len(m.paths))
     raise ValueError(f"no mapping for the layout {fingerprint(sorted(there))}: {sorted(there)}")
 
 
@@ -112,6 +124,43 @@ def canonical_turns(df: DataFrame, *, mappings: Sequence[Mapping] = MAPPINGS) ->
     return df.select(*rest, out.alias("turns"))
 
 
+def turns_of_json(df: DataFrame, json_col: str, *, mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
+    """``df`` plus fingerprint, layout and turns of each row's JSON object, whose layout may differ from row to row.
+
+    A row's fingerprint is the hash of its nested field paths, as far as any mapping knows
+    them; it is looked up in the table of mappings' fingerprints. Rows of no known layout,
+    and null or broken JSON, have a null layout and null turns. Only layouts of one row a
+    conversation apply; columns of these names are replaced.
+    """
+    single = [m for m in mappings if m.kind != "rows"]
+    raw = F.col(json_col)
+    top = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    paths = [F.filter(top, lambda x: x.isin(sorted({p for m in single for p in m.paths if "[]" not in p})))]
+    for name in sorted({m.fields[0] for m in single if m.kind == "list"}):
+        parts = sorted({p.partition("[].")[2] for m in single if m.kind == "list" and m.fields[0] == name for p in m.paths} - {""})
+        items = F.from_json(F.get_json_object(raw, f"$.{name}"), "array<string>")
+        # The fields of a list's items are those that any of them has; an empty list has its layout's.
+        fields = F.array_distinct(F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), F.array().cast("array<string>")))))
+        known = F.filter(fields, lambda x: x.isin(parts))  # noqa: B023
+        inside = F.when(F.size(items) == 0, F.array(*map(F.lit, parts))).otherwise(known)
+        paths.append(F.when(items.isNotNull(), F.concat(F.array(F.lit(f"{name}[]")), F.transform(inside, lambda x: F.concat(F.lit(f"{name}[]."), x)))).otherwise(F.array().cast("array<string>")))  # noqa: B023
+    print_ = F.left(F.sha2(F.array_join(F.array_sort(F.concat(*paths)), "\n"), 256), F.lit(16))
+    names = F.create_map(*[F.lit(x) for key, m in table_of(single).items() for x in (key, m.name)])
+    base = df.select(*[c for c in df.columns if c not in ("fingerprint", "layout", "turns")], F.when(raw.isNotNull(), print_).alias("fingerprint"))
+    base = base.withColumn("layout", F.try_element_at(names, F.col("fingerprint")))
+    turns = F.lit(None).cast(TURNS)
+    for m in single:
+        if m.kind == "list":
+            source, role, text = m.fields
+            items = F.from_json(F.get_json_object(raw, f"$.{source}"), f"array<struct<`{role}`:string,`{text}`:string>>")
+            made = F.transform(F.filter(items, lambda x: x.isNotNull()), lambda x: _turn(x[role], x[text]))  # noqa: B023
+        else:
+            each = [(r, F.get_json_object(raw, f"$.{c}"), c) for r, c in zip(m.roles, m.fields, strict=True)]
+            made = F.filter(F.array(*[F.when((F.lit(c) != "input") | (F.coalesce(t, F.lit("")) != ""), _turn(F.lit(r), t)) for r, t, c in each]), lambda x: x.isNotNull())
+        turns = F.when(F.col("layout") == m.name, made).otherwise(turns)
+    return base.withColumn("turns", turns)
+
+
 @dataclass(frozen=True)
 class Template:
     """Control strings of a chat format. All begin with ``opening``, which escaping keeps out of texts."""
