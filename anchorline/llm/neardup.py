@@ -6,9 +6,9 @@ sketch holds ``registers`` truncated, exponentially spaced minima: register i is
 exponential hash values of rate ``RATE`` under the i-th permutation. Sketches merge by
 register-wise maxima. Classes that agree in all registers of a band meet in a bucket.
 
-Buckets are not expanded into pairs. In each round one class of every component of a
-bucket is compared with one of the bucket's largest component; links found join the
-components. After the rounds, each class outside its bucket's largest component meets
+Buckets are not expanded into pairs. At first each class is compared with one class of
+its buckets; then, in rounds, one class of every component of a bucket with one of the
+bucket's largest component. Links found join the components. After the rounds, each class outside its bucket's largest component meets
 all classes of other components there: a pair comes out of that join once, and only if
 sizes and odd sketches (2,048 parity bits of the sets, from which the number of differing
 shingles is known closely) leave the threshold within reach. So every candidate pair is
@@ -266,7 +266,10 @@ def near_duplicates(
         open_ = groups.join(buckets, "bucket")
         if turn < rounds:
             found = open_.where("comp != most.comp").select(F.col("one.fp").alias("x"), F.col("most.one.fp").alias("y"))
-            pairs = found.distinct()
+            if turn == 0:  # one partner for each class: of its buckets' pivots the first in order
+                pairs = found.groupBy("x").agg(F.min_by("y", F.xxhash64("y")).alias("y"))
+            else:
+                pairs = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         else:
             still = stored(open_.select("bucket", "comp", "most"))
             met = members.join(still.select("bucket").distinct(), "bucket").select("fp").distinct()
