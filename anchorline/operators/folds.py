@@ -2,7 +2,9 @@
 
 A timeline is cut where a gap makes the fold start anew whatever came before; the rows
 of a piece are sorted in an array and folded with ``aggregate``; every row comes back
-with the state after it. Without such gaps a piece is the whole timeline.
+with the state after it. Without such gaps a piece is the whole timeline. A piece of n
+rows is folded in blocks of about the root of n, so that its output is copied once for
+each block and not once for each row.
 """
 
 from __future__ import annotations
@@ -42,8 +44,14 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], stat
         new = F.struct(*[F.when(acc["n"] == 0, first(row)).otherwise(following(old, row)).cast(t).alias(n) for n, (t, following, first) in state.items()])
         return F.struct((acc["n"] + 1).alias("n"), new.alias("s"), F.concat(acc["out"], F.array(F.struct(row.alias("row"), new.alias("s")))).alias("out"))
 
+    def block(acc: Column, rows: Column) -> Column:
+        inner = F.aggregate(rows, F.struct(acc["n"].alias("n"), acc["s"].alias("s"), F.array().cast(out_type).alias("out")), step)
+        return F.transform(F.array(inner), lambda x: F.struct(x["n"].alias("n"), x["s"].alias("s"), F.concat(acc["out"], x["out"]).alias("out")))[0]
+
     start = F.struct(F.lit(0).alias("n"), F.lit(None).cast(kind).alias("s"), F.array().cast(out_type).alias("out"))
-    folded = packed.select(*parts, F.aggregate("__rows", start, step, lambda acc: acc["out"]).alias("__out"))
+    size = F.ceil(F.sqrt(F.size("__rows"))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(1), F.size("__rows"), size), lambda i: F.slice("__rows", i, size))
+    folded = packed.select(*parts, F.aggregate(blocks, start, block, lambda acc: acc["out"]).alias("__out"))
     earlier = F.lit(0)
     if gap and number:
         earlier = F.coalesce(F.sum(F.element_at("__out", -1)["s"][number]).over(Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -92,7 +92,7 @@ WITH {TL}, a AS (SELECT * FROM tl WHERE kind IN ('audio_onset', 'sed_event')), v
 m AS (SELECT v.seq AS v, v.kind, a.seq AS a, CAST(round_even(a.t_ms_f - v.t_ms_f, 0) AS BIGINT) AS dt, row_number() OVER (PARTITION BY v.seq ORDER BY abs(a.t_ms_f - v.t_ms_f), a.seq) AS rn
   FROM v JOIN a ON a.clip = v.clip AND abs(a.t_ms_f - v.t_ms_f) <= 100000)
 SELECT a AS seq, 'audio' AS kind, arg_max(dt, v) FILTER (WHERE kind = 'cut') AS cut_dt_ms, arg_max(dt, v) FILTER (WHERE kind = 'motion_spike') AS spike_dt_ms, count(*) AS n_visual FROM m WHERE rn = 1 GROUP BY a
-UNION ALL SELECT seq, kind, NULL, NULL, 0 FROM v WHERE seq NOT IN (SELECT v FROM m)
+UNION ALL SELECT seq, 'low_confidence_' || kind, NULL, NULL, 0 FROM v WHERE kind <> 'motion_spike' AND seq NOT IN (SELECT v FROM m)
 """)
 def q_visual_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     tl = timeline(spark, sf_dir)
@@ -103,7 +103,8 @@ def q_visual_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = lambda kind: F.max_by(F.when(F.col("v_kind") == kind, dt), F.when(F.col("v_kind") == kind, F.col("v")))
     attached = found.where("a IS NOT NULL").groupBy(F.col("a").alias("seq")).agg(F.lit("audio").alias("kind"), last("cut").alias("cut_dt_ms"), last("motion_spike").alias("spike_dt_ms"), F.count(F.lit(1)).alias("n_visual"))
     none = F.lit(None).cast("bigint")
-    alone = found.where("a IS NULL").select(F.col("v").alias("seq"), F.col("v_kind").alias("kind"), none.alias("cut_dt_ms"), none.alias("spike_dt_ms"), F.lit(0).cast("bigint").alias("n_visual"))
+    # Unmatched motion is dropped; any other visual row stays, marked.
+    alone = found.where("a IS NULL AND v_kind != 'motion_spike'").select(F.col("v").alias("seq"), F.concat(F.lit("low_confidence_"), "v_kind").alias("kind"), none.alias("cut_dt_ms"), none.alias("spike_dt_ms"), F.lit(0).cast("bigint").alias("n_visual"))
     return attached.unionByName(alone)
 
 
@@ -182,12 +183,17 @@ def q_seed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
+WITH v AS (SELECT doc_id, 0 AS place, quality, toxic FROM labels UNION ALL SELECT doc_id, 1, 1 - quality, toxic FROM labels WHERE doc_id % 3 = 0), l AS (SELECT doc_id, arg_max(quality, place) AS quality, arg_max(toxic, place) AS toxic FROM v GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'drop' WHEN l.quality = 0 THEN 'relabel' WHEN l.doc_id IS NOT NULL THEN 'keep' ELSE 'keep_unlogged' END AS verdict,
-CASE WHEN l.toxic = 1 THEN 'rejected' ELSE 'kept' END AS stream FROM documents d LEFT JOIN labels l USING (doc_id)
+CASE WHEN l.toxic = 1 THEN 'rejected' ELSE 'kept' END AS stream FROM documents d LEFT JOIN l USING (doc_id)
 """)
 def q_verdict_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.lit(True).alias("judged"))
+    once = table(spark, sf_dir, "labels").select("doc_id", F.lit(0).alias("at"), "quality", "toxic")
+    again = once.where("doc_id % 3 = 0").select("doc_id", F.lit(1).alias("at"), (1 - F.col("quality")).alias("quality"), "toxic")
+    # Of several verdicts on one document the last counts; without any, all documents stay.
+    last = once.unionAll(again).groupBy("doc_id").agg(F.max_by(F.struct("quality", "toxic"), "at").alias("v"))
+    labels = last.select("doc_id", "v.quality", "v.toxic", F.lit(True).alias("judged"))
     verdict = F.when(F.col("toxic") == 1, "drop").when(F.col("quality") == 0, "relabel").when(F.col("judged"), "keep").otherwise("keep_unlogged")
     return d.join(labels, "doc_id", "left").select("doc_id", verdict.alias("verdict"), F.when(F.col("toxic") == 1, "rejected").otherwise("kept").alias("stream"))
 
@@ -216,10 +222,10 @@ def q_action_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l.doc_id, coalesce(left(d.text, 80), '') AS story, d.source FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id AND d.lang = 'en'
+SELECT l.doc_id, coalesce(d.text, '') AS story, d.source FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id
 """)
 def q_story_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.left("text", F.lit(80)).alias("story"), "source")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("story"), "source")
     return table(spark, sf_dir, "labels").select("doc_id").join(d, "doc_id", "left").select("doc_id", F.coalesce("story", F.lit("")).alias("story"), "source")
 
 

@@ -6,22 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anchorline.functions.numeric import clamp, half_even, or_else
-from anchorline.functions.text import GROUP_BANDS, ONTOLOGY, STOPWORDS, index_suffix, map_label, overlap, rate, stable_split, stem_name, tokens
+from anchorline.functions.text import ONTOLOGY, STOPWORDS, index_suffix, map_label, overlap, rate, stable_split, stem_name, tokens
 from anchorline.operators.joins import nearest_within
 from anchorline.plans.registry import query
-from anchorline.plans.views import AUDIO_TYPES, TL, cues, table, timeline
+from anchorline.plans.views import TL, cues, sql_tokens, table, timeline
 from anchorline.sources.files import parse_json_objects, repair_json
 from anchorline.operators.tables import replace_scope, split_lists, upsert_latest
 
 _STOP = "(" + ", ".join(f"'{w}'" for w in STOPWORDS) + ")"
 
-
-def _sql_tokens(text: str) -> str:
-    """Stemmed distinct tokens in DuckDB."""
-    cut = "CASE WHEN length(w) > 4 AND w LIKE '%ing' THEN left(w, length(w) - 3) WHEN length(w) > 4 AND w LIKE '%es' THEN left(w, length(w) - 2) WHEN length(w) > 4 AND w LIKE '%s' THEN left(w, length(w) - 1) ELSE w END"
-    return f"list_distinct(list_transform(list_filter(regexp_extract_all(lower({text}), '[a-z0-9]+'), lambda w: w NOT IN {_STOP}), lambda w: {cut}))"
-
-
 @query(f"""
 WITH {TL} SELECT clip, count(*) FILTER (WHERE kind = 'audio_onset') AS audio_onset, count(*) FILTER (WHERE kind = 'sed_event') AS sed_event, count(*) FILTER (WHERE kind = 'cut') AS cut,
 count(*) FILTER (WHERE kind = 'motion_spike') AS motion_spike, count(*) FILTER (WHERE kind = 'speech_start') AS speech_start, count(*) AS total FROM tl GROUP BY clip
@@ -60,27 +53,33 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {_MATCH} SELECT coalesce(clip, 'all') AS clip, count(*) AS n, round(quantile_cont(err, 0.5), 9) AS median, round(quantile_cont(err, 0.9), 9) AS p90, round(avg(err), 9) AS mean,
-round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 20) / count(*), 9) AS le20, round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 50) / count(*), 9) AS le50 FROM e GROUP BY ROLLUP (clip)
+round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 20) / count(*), 9) AS le20, round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 50) / count(*), 9) AS le50,
+round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 100) / count(*), 9) AS le100, round(100.0::DOUBLE * count(*) FILTER (WHERE err <= 200) / count(*), 9) AS le200 FROM e GROUP BY ROLLUP (clip)
 """)
 def q_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = lambda ms: F.round(100.0 * F.count_if(F.col("err") <= ms) / F.count(F.lit(1)), 9)
     out = _matches(spark, sf_dir).rollup("clip").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.percentile("err", 0.5), 9).alias("median"), F.round(F.percentile("err", 0.9), 9).alias("p90"), F.round(F.avg("err"), 9).alias("mean"), share(20).alias("le20"), share(50).alias("le50")
+        F.count(F.lit(1)).alias("n"), F.round(F.percentile("err", 0.5), 9).alias("median"), F.round(F.percentile("err", 0.9), 9).alias("p90"), F.round(F.avg("err"), 9).alias("mean"), share(20).alias("le20"), share(50).alias("le50"), share(100).alias("le100"), share(200).alias("le200")
     )
     return out.withColumn("clip", F.coalesce("clip", F.lit("all")))
 
 
 @query(f"""
-WITH {_MATCH}, t AS (SELECT clip, count(DISTINCT g) AS tp FROM e GROUP BY clip), n AS (SELECT clip, count(*) FILTER (WHERE kind = 'audio_onset') AS np, count(*) FILTER (WHERE kind = 'sed_event') AS ng FROM tl GROUP BY clip)
-SELECT clip, coalesce(tp, 0) AS tp, round(CASE WHEN np > 0 THEN coalesce(tp, 0) / np::DOUBLE ELSE 0 END, 9) AS precision, round(CASE WHEN ng > 0 THEN coalesce(tp, 0) / ng::DOUBLE ELSE 0 END, 9) AS recall,
-round(CASE WHEN np + ng > 0 THEN 2 * coalesce(tp, 0) / (np + ng)::DOUBLE ELSE 0 END, 9) AS f1 FROM n LEFT JOIN t USING (clip)
+WITH {_MATCH}, t AS (SELECT clip, count(DISTINCT g) AS tp FROM e GROUP BY clip), n AS (SELECT clip, count(*) FILTER (WHERE kind = 'audio_onset') AS np, count(*) FILTER (WHERE kind = 'sed_event') AS ng FROM tl GROUP BY clip),
+s AS (SELECT coalesce(clip, 'all') AS clip, CAST(sum(coalesce(tp, 0)) AS BIGINT) AS tp, CAST(sum(np) AS BIGINT) AS np, CAST(sum(ng) AS BIGINT) AS ng FROM n LEFT JOIN t USING (clip) GROUP BY ROLLUP (clip))
+SELECT clip, tp, np - tp AS fp, ng - tp AS fn, round(CASE WHEN np > 0 THEN tp / np::DOUBLE ELSE 0 END, 9) AS precision, round(CASE WHEN ng > 0 THEN tp / ng::DOUBLE ELSE 0 END, 9) AS recall,
+round(CASE WHEN np + ng > 0 THEN 2 * tp / (np + ng)::DOUBLE ELSE 0 END, 9) AS f1 FROM s
 """)
 def q_prf_at_collar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and F1 of each clip, and of all from their pooled counts."""
     tp = _matches(spark, sf_dir).groupBy("clip").agg(F.countDistinct("g").alias("tp"))
     n = timeline(spark, sf_dir).groupBy("clip").agg(F.count_if(F.col("kind") == "audio_onset").alias("np"), F.count_if(F.col("kind") == "sed_event").alias("ng"))
-    hits = F.coalesce("tp", F.lit(0).cast("bigint"))
+    s = n.join(tp, "clip", "left").rollup("clip").agg(F.sum(F.coalesce("tp", F.lit(0))).alias("tp"), F.sum("np").alias("np"), F.sum("ng").alias("ng"))
     ratio = lambda a, b: F.round(F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0)), 9)
-    return n.join(tp, "clip", "left").select("clip", hits.alias("tp"), ratio(hits, F.col("np")).alias("precision"), ratio(hits, F.col("ng")).alias("recall"), ratio(2 * hits, F.col("np") + F.col("ng")).alias("f1"))
+    return s.select(
+        F.coalesce("clip", F.lit("all")).alias("clip"), "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("ng") - F.col("tp")).alias("fn"),
+        ratio(F.col("tp"), F.col("np")).alias("precision"), ratio(F.col("tp"), F.col("ng")).alias("recall"), ratio(2 * F.col("tp"), F.col("np") + F.col("ng")).alias("f1"),
+    )
 
 
 @query(f"WITH {_MATCH} SELECT clip, count(*) AS n, round(quantile_cont(abs(off), 0.5), 6) AS median_abs, round(avg(off), 6) AS mean FROM e GROUP BY clip")
@@ -146,9 +145,12 @@ def q_outcome_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {TL} SELECT seq, round((strength - avg(strength) OVER w) / (stddev_pop(strength) OVER w + 1e-9), 6) AS z, round(strength / max(strength) OVER (PARTITION BY clip, kind), 6) AS rel FROM tl WINDOW w AS (PARTITION BY clip)
 """)
 def q_global_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("clip")
-    z = (F.col("strength") - F.avg("strength").over(w)) / (F.stddev_pop("strength").over(w) + 1e-9)
-    return timeline(spark, sf_dir).select("seq", F.round(z, 6).alias("z"), F.round(F.col("strength") / F.max("strength").over(Window.partitionBy("clip", "kind")), 6).alias("rel"))
+    tl = timeline(spark, sf_dir).select("seq", "clip", "kind", "strength")
+    # Sums of clips and kinds are combined before the shuffle and joined back; no clip is gathered.
+    clips = tl.groupBy("clip").agg(F.avg("strength").alias("m"), F.stddev_pop("strength").alias("d"))
+    kinds = tl.groupBy("clip", "kind").agg(F.max("strength").alias("top"))
+    z = (F.col("strength") - F.col("m")) / (F.col("d") + 1e-9)
+    return tl.join(clips, "clip").join(kinds, ["clip", "kind"]).select("seq", F.round(z, 6).alias("z"), F.round(F.col("strength") / F.col("top"), 6).alias("rel"))
 
 
 _PROB = "prob AS (SELECT vec_id, unnest(range(0, len(embedding))) AS c, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
@@ -243,18 +245,33 @@ def q_union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH d AS (SELECT doc_id, {_sql_tokens("text")} AS w FROM documents), b AS (SELECT item_id, {_sql_tokens("text")} AS w FROM benchmark),
+WITH d AS (SELECT doc_id, {sql_tokens("text")} AS w FROM documents), b AS (SELECT item_id, {sql_tokens("text")} AS w FROM benchmark),
 s AS (SELECT doc_id, unnest(w) AS t FROM d), u AS (SELECT item_id, unnest(w) AS t FROM b), m AS (SELECT doc_id, item_id, count(*) AS shared FROM s JOIN u USING (t) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, shared, round(shared / least(len(d.w), len(b.w))::DOUBLE, 6) AS sim FROM m JOIN d USING (doc_id) JOIN b USING (item_id) WHERE shared / least(len(d.w), len(b.w))::DOUBLE >= 0.6
 """)
 def q_token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("w"))
-    b = table(spark, sf_dir, "benchmark").select("item_id", tokens(F.col("text")).alias("w"))
+    """Pairs that share 0.6 of the smaller one's tokens.
+
+    Such a pair shares one of the rarest tokens of its smaller side: of n tokens, one of the first n - ceil(0.6 n) + 1.
+    Only those meet; common tokens of large texts never do. The sets of the pairs found are then compared whole.
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
+    b = table(spark, sf_dir, "benchmark").select("item_id", tokens(F.col("text")).alias("w")).where(F.size("w") > 0)
     s = d.select("doc_id", F.size("w").alias("nd"), F.explode("w").alias("t"))
     u = b.select("item_id", F.size("w").alias("nb"), F.explode("w").alias("t"))
-    m = s.join(u, "t").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("shared"), F.first(F.least("nd", "nb")).alias("least"))
-    sim = F.col("shared") / F.col("least").cast("double")
-    return m.where(sim >= 0.6).select("doc_id", "item_id", "shared", F.round(sim, 6).alias("sim"))
+    often = s.groupBy("t").agg(F.count(F.lit(1)).alias("docs"))
+
+    def rarest(x: DataFrame, key: str, n: str) -> DataFrame:
+        ranked = x.join(often, "t", "left").groupBy(key, n).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "t"))).alias("r"))
+        return ranked.select(key, n, F.explode(F.slice("r", F.lit(1), (F.col(n) - F.ceil(F.col(n) * 0.6 - 1e-9) + 1).cast("int"))).alias("x")).select(key, n, F.col("x.t").alias("t"))
+
+    largest = u.agg(F.max("nb")).first()[0] or 0
+    small_items = s.join(rarest(u, "item_id", "nb"), "t").where("nd >= nb").select("doc_id", "item_id")
+    small_docs = rarest(s.where(F.col("nd") < largest), "doc_id", "nd").join(u, "t").where("nd < nb").select("doc_id", "item_id")
+    met = small_items.unionAll(small_docs).distinct().join(b.withColumnRenamed("w", "v"), "item_id").join(d, "doc_id")
+    shared, least = F.size(F.array_intersect("w", "v")).cast("long"), F.least(F.size("w"), F.size("v"))
+    sim = shared / least.cast("double")
+    return met.where(sim >= 0.6).select("doc_id", "item_id", shared.alias("shared"), F.round(sim, 6).alias("sim"))
 
 
 @query("""

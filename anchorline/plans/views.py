@@ -6,13 +6,17 @@ A reference millisecond of tolerance is one second here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.functions.numeric import half_even
+from anchorline.functions.text import STOPWORDS
 
 KINDS = {"click": "audio_onset", "error": "sed_event", "signup": "cut", "view": "motion_spike"}
 STEMS = ("effects", "mixture", "dialogue")
+#: The audio types of cues.
 AUDIO_TYPES = ("SFX", "AMBIENCE", "MUSIC", "MOVIE_BGM", "NARRATOR", "DIALOGUE")
 
 TL = """
@@ -27,6 +31,13 @@ cue AS (SELECT seq, clip, t_ms AS start_ms, 1000 * (1 + k) AS duration_ms, k, us
 """
 
 
+def sql_tokens(text: str, stopwords: Sequence[str] = STOPWORDS) -> str:
+    """Stemmed distinct tokens in DuckDB."""
+    stop = "(" + ", ".join(f"'{w}'" for w in stopwords) + ")"
+    cut = "CASE WHEN length(w) > 4 AND w LIKE '%ing' THEN left(w, length(w) - 3) WHEN length(w) > 4 AND w LIKE '%es' THEN left(w, length(w) - 2) WHEN length(w) > 4 AND w LIKE '%s' THEN left(w, length(w) - 1) ELSE w END"
+    return f"list_distinct(list_transform(list_filter(regexp_extract_all(lower({text}), '[a-z0-9]+'), lambda w: w NOT IN {stop}), lambda w: {cut}))"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

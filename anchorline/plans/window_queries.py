@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anchorline.functions.numeric import half_even, parabolic_shift
+from anchorline.functions.numeric import clamp, half_even, parabolic_shift
+from anchorline.functions.text import VERIFY_STOPWORDS, tokens
+from anchorline.operators import verify
 from anchorline.operators.folds import clusters, fold, keep_first_gap
 from anchorline.operators.joins import nearest_within
 from anchorline.operators.segments import hysteresis, pack_scenes, runs, split_long
 from anchorline.plans.registry import query
-from anchorline.plans.views import TL, cues, table, timeline
+from anchorline.plans.views import TL, cues, sql_tokens, table, timeline
 
 
 def _greedy(source: str, gap: int, keep: str = "seq", t: str = "t_ms") -> str:
@@ -366,14 +368,14 @@ def q_split_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {TL}, a AS (SELECT c.cue_id, c.audio_type, c.start_ms, c.duration_ms, t.kind, t.k, t.t_ms, row_number() OVER (PARTITION BY c.cue_id ORDER BY abs(t.t_ms - c.start_ms), t.seq) AS rn FROM cue c JOIN tl t ON t.clip = c.clip AND abs(t.t_ms - c.start_ms) <= 250000),
+WITH {TL}, a AS (SELECT c.cue_id, c.audio_type, c.start_ms, c.duration_ms, t.kind, t.k, t.t_ms, row_number() OVER (PARTITION BY c.cue_id ORDER BY abs(t.t_ms - c.start_ms), t.seq) AS rn FROM cue c LEFT JOIN tl t ON t.clip = c.clip AND abs(t.t_ms - c.start_ms) <= 250000),
 e AS (SELECT cue_id, audio_type, start_ms, CASE WHEN audio_type IN ('AMBIENCE', 'MUSIC') THEN start_ms + duration_ms WHEN kind = 'audio_onset' AND k % 2 = 0 THEN t_ms + 1000 * k WHEN kind = 'sed_event' THEN t_ms + 500 * k ELSE start_ms + greatest(duration_ms, 50) END AS e FROM a WHERE rn = 1)
 SELECT cue_id, greatest(0, least(start_ms, 86400000 - 50)) AS start_ms, CAST(greatest(greatest(0, least(start_ms, 86400000 - 50)) + 50, least(e, 86400000)) AS BIGINT) AS end_ms FROM e
 """)
 def q_end_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = timeline(spark, sf_dir).select("clip", "t_ms", F.col("seq").alias("anchor"), "kind", F.col("k").alias("ak"))
     c = cues(spark, sf_dir).select("clip", "cue_id", "audio_type", "start_ms", "duration_ms")
-    x = nearest_within(c, a, ["clip"], "cue_id", "start_ms", "t_ms", 250_000, [F.abs(F.col("t_ms") - F.col("start_ms")), "anchor"], ["kind", "ak", "t_ms"]).where("kind IS NOT NULL")
+    x = nearest_within(c, a, ["clip"], "cue_id", "start_ms", "t_ms", 250_000, [F.abs(F.col("t_ms") - F.col("start_ms")), "anchor"], ["kind", "ak", "t_ms"])
     own = F.col("start_ms") + F.greatest(F.col("duration_ms"), F.lit(50))
     end = F.when(F.col("audio_type").isin("AMBIENCE", "MUSIC"), F.col("start_ms") + F.col("duration_ms")).when((F.col("kind") == "audio_onset") & (F.col("ak") % 2 == 0), F.col("t_ms") + 1000 * F.col("ak")).when(F.col("kind") == "sed_event", F.col("t_ms") + 500 * F.col("ak")).otherwise(own)
     start = F.greatest(F.lit(0), F.least(F.col("start_ms"), F.lit(86_400_000 - 50)))
@@ -396,20 +398,120 @@ def q_snap_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("cue_id", start.alias("start_ms"), end.alias("end_ms"))
 
 
+_D = 86_400_000
+_PROPOSED = f"""{TL}, np AS (SELECT count(*) AS n FROM part),
+an AS (SELECT clip, seq AS anchor, stem, t_ms, CASE WHEN kind = 'audio_onset' AND stem = 'dialogue' AND k % 3 = 0 THEN 'speech_start' WHEN kind = 'motion_spike' AND k % 7 = 0 THEN 'music_boundary' ELSE kind END AS kind,
+  CASE WHEN k % 4 = 0 THEN t_ms + 10000 * (1 + k) END AS end_ms, k % 8 = 0 AS end_reliable FROM tl),
+cu AS MATERIALIZED (SELECT c.clip, c.seq AS row, 'cue_' || (c.user_id % 50) AS cue_id, c.audio_type, ['EVENT', 'CONTINUOUS', 'EVENT', 'INSTANT'][c.k % 4 + 1] AS event_type, CASE WHEN c.user_id % 11 = 0 THEN 'asr' ELSE 'model' END AS source,
+  c.start_ms, CAST(40000 * (1 + c.k) AS BIGINT) AS duration_ms, {sql_tokens("p.p_name", VERIFY_STOPWORDS)} AS words FROM cue c, np JOIN part p ON p.p_partkey = c.seq % np.n)"""
+
+
+def _proposed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(cues, anchors) of the verification queries; a reference millisecond is one second."""
+    kind = F.when((F.col("kind") == "audio_onset") & (F.col("stem") == "dialogue") & (F.col("k") % 3 == 0), "speech_start").when((F.col("kind") == "motion_spike") & (F.col("k") % 7 == 0), "music_boundary").otherwise(F.col("kind"))
+    anchors = timeline(spark, sf_dir).select("clip", F.col("seq").alias("anchor"), "stem", "t_ms", kind.alias("kind"), F.when(F.col("k") % 4 == 0, F.col("t_ms") + 10_000 * (1 + F.col("k"))).alias("end_ms"), (F.col("k") % 8 == 0).alias("end_reliable"))
+    part = table(spark, sf_dir, "part").select("p_partkey", tokens(F.col("p_name"), VERIFY_STOPWORDS).alias("words"))
+    n = part.agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
+    c = cues(spark, sf_dir).withColumn("one", F.lit(1)).join(F.broadcast(n), "one").withColumn("p_partkey", F.col("seq") % F.col("n")).join(part, "p_partkey")
+    events = F.get(F.array(*map(F.lit, ("EVENT", "CONTINUOUS", "EVENT", "INSTANT"))), F.col("k") % 4)
+    named = c.select("clip", F.col("seq").alias("row"), F.concat(F.lit("cue_"), (F.col("user_id") % 50).cast("string")).alias("cue_id"), "audio_type", events.alias("event_type"), F.when(F.col("user_id") % 11 == 0, "asr").otherwise("model").alias("source"), "start_ms", (40_000 * (1 + F.col("k"))).cast("long").alias("duration_ms"), "words")
+    return named, anchors
+
+
+_AUDIBLE = """near AS (SELECT c.row, a.anchor, abs(a.t_ms - c.start_ms) AS d, row_number() OVER (PARTITION BY c.row ORDER BY abs(a.t_ms - c.start_ms), a.anchor) AS rn FROM cu c JOIN an a ON a.clip = c.clip AND abs(a.t_ms - c.start_ms) <= 450000
+  AND a.kind IN ('audio_onset', 'speech_start', 'sed_event') AND (c.audio_type = 'SFX' AND a.kind <> 'speech_start' OR c.audio_type IN ('DIALOGUE', 'NARRATOR') AND (a.kind = 'speech_start' OR a.stem = 'dialogue'))),
+au AS MATERIALIZED (SELECT cu.*, CASE WHEN audio_type NOT IN ('SFX', 'DIALOGUE', 'NARRATOR') OR d <= 150000 THEN 'audible' WHEN d <= 450000 THEN 'partially_audible' ELSE 'not_audible' END AS audibility, CASE WHEN d <= 150000 THEN anchor END AS anchor FROM cu LEFT JOIN near ON near.row = cu.row AND rn = 1)"""
+
+
+@query(f"WITH {_PROPOSED}, {_AUDIBLE} SELECT row, audio_type, audibility, anchor FROM au")
+def q_audibility_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audibility by type: effects by any onset, speech by where it starts or its own stem."""
+    c, a = _proposed(spark, sf_dir)
+    return verify.audibility(c, a, 150_000).select("row", "audio_type", "audibility", "anchor")
+
+
+_SPLIT = f"""h AS (SELECT c.row AS clip, a.anchor AS seq, a.t_ms FROM au c JOIN an a ON a.clip = c.clip AND a.kind = 'audio_onset' AND a.stem IN ('effects', 'mixture') AND a.t_ms BETWEEN c.start_ms - 50000 AND c.start_ms + c.duration_ms + 50000
+  WHERE c.audio_type = 'SFX' AND c.event_type NOT IN ('CONTINUOUS', 'SEGMENT', 'GLOBAL') AND c.duration_ms >= 1500000), {_greedy('h', 150000)},
+k AS MATERIALIZED (SELECT clip AS row, t_ms, row_number() OVER (PARTITION BY clip ORDER BY t_ms, seq) AS part, count(*) OVER (PARTITION BY clip) AS n FROM r WHERE kept),
+sp AS MATERIALIZED (SELECT clip, row, cue_id, audio_type, CASE WHEN row IN (SELECT row FROM k WHERE n >= 2) THEN 'CONTINUOUS' ELSE event_type END AS event_type, source, start_ms, duration_ms, words, audibility, anchor, 0 AS part FROM au
+  UNION ALL SELECT clip, au.row, cue_id || '_h' || k.part, audio_type, 'INSTANT', source, k.t_ms, 150000, words, audibility, anchor, k.part FROM au JOIN k ON k.row = au.row WHERE n >= 2)"""
+
+
+@query(f"WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT} SELECT row, CAST(part AS INTEGER) AS part, cue_id, event_type, start_ms, duration_ms FROM sp")
+def q_split_impacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long effect cues with several hits: the cue lasts, each hit is a cue of its own."""
+    c, a = _proposed(spark, sf_dir)
+    return verify.split_impacts(c, a, 150_000, 1_500_000, 50_000, 150_000).select("row", "part", "cue_id", "event_type", "start_ms", "duration_ms")
+
+
+_FITS = "list_filter(m.kept, lambda x: x.audio_type = o.audio_type AND o.start_ms - x.start_ms <= 100000 AND len(x.words) > 0 AND len(o.words) > 0 AND len(list_intersect(x.words, o.words)) / least(len(x.words), len(o.words))::DOUBLE >= 0.6)"
+_OWN = "{{'number': {0}.number, 'start_ms': {0}.start_ms, 'audio_type': {0}.audio_type, 'words': {0}.words}}"
+_MERGED = f"""o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY clip ORDER BY start_ms, row, part) AS number FROM sp),
+m AS (SELECT clip, number, CAST(NULL AS BIGINT) AS merged_into, [{_OWN.format('o')}] AS kept FROM o WHERE number = 1
+UNION ALL SELECT o.clip, o.number, {_FITS}[1].number, CASE WHEN len({_FITS}) > 0 THEN m.kept ELSE list_append(list_filter(m.kept, lambda x: o.start_ms - x.start_ms <= 100000), {_OWN.format('o')}) END FROM m JOIN o ON o.clip = m.clip AND o.number = m.number + 1),
+me AS MATERIALIZED (SELECT o.*, m.merged_into FROM o JOIN m USING (clip, number))"""
+_SNAPPED = f"""kc AS MATERIALIZED (SELECT *, start_ms + duration_ms AS old_end FROM me WHERE merged_into IS NULL),
+to_ AS (SELECT c.clip, c.number, a.anchor, a.t_ms, a.end_ms, a.end_reliable, row_number() OVER (PARTITION BY c.clip, c.number ORDER BY c.audio_type = 'SFX' AND a.stem <> 'effects', abs(a.t_ms - c.start_ms), a.anchor) AS rn FROM kc c JOIN an a ON a.clip = c.clip AND abs(a.t_ms - c.start_ms) <=
+  CASE WHEN c.audio_type = 'SFX' THEN 250000 WHEN c.audio_type IN ('DIALOGUE', 'NARRATOR') THEN 500000 ELSE 600000 END AND (c.audio_type = 'SFX' AND a.kind IN ('audio_onset', 'sed_event') AND a.stem IN ('effects', 'mixture')
+  OR c.audio_type IN ('DIALOGUE', 'NARRATOR') AND a.kind = 'speech_start' OR c.audio_type IN ('AMBIENCE', 'MUSIC', 'MOVIE_BGM') AND a.kind IN ('cut', 'music_boundary'))),
+en AS (SELECT c.clip, c.number, a.t_ms AS cut, row_number() OVER (PARTITION BY c.clip, c.number ORDER BY abs(a.t_ms - c.old_end), a.anchor) AS rn FROM kc c JOIN an a ON a.clip = c.clip AND abs(a.t_ms - c.old_end) <= 600000 AND a.kind IN ('cut', 'music_boundary') WHERE c.audio_type IN ('AMBIENCE', 'MUSIC')),
+raw AS (SELECT c.*, t.anchor AS to_anchor, coalesce(t.t_ms, c.start_ms) AS s, CASE WHEN c.audio_type IN ('AMBIENCE', 'MUSIC', 'MOVIE_BGM') THEN CASE WHEN e.cut > coalesce(t.t_ms, c.start_ms) + 100 THEN e.cut ELSE coalesce(t.t_ms, c.start_ms) + c.duration_ms END
+  WHEN t.anchor IS NULL THEN c.old_end WHEN c.audio_type = 'SFX' AND c.event_type IN ('CONTINUOUS', 'SEGMENT', 'GLOBAL') THEN t.t_ms + c.duration_ms WHEN c.audio_type = 'SFX' AND t.end_reliable AND t.end_ms IS NOT NULL THEN greatest(t.t_ms + 50, t.end_ms)
+  WHEN c.audio_type = 'SFX' THEN t.t_ms + greatest(c.duration_ms, 50) ELSE coalesce(t.end_ms, t.t_ms + c.duration_ms) END AS e
+  FROM kc c LEFT JOIN to_ t ON t.clip = c.clip AND t.number = c.number AND t.rn = 1 LEFT JOIN en e ON e.clip = c.clip AND e.number = c.number AND e.rn = 1),
+sn AS MATERIALIZED (SELECT *, greatest(0, least(s, {_D} - 50)) AS new_start, greatest(greatest(0, least(s, {_D} - 50)) + 50, least(e, {_D})) AS new_end FROM raw)"""
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    c, a = _proposed(spark, sf_dir)
+    # Each step reads the one before several times: persisted, and computed again where an executor is lost.
+    heard = verify.audibility(c, a, 150_000).persist()
+    split = verify.split_impacts(heard, a, 150_000, 1_500_000, 50_000, 150_000).persist()
+    return verify.merge_near(split, ["row", "part"], 100_000, 0.6).persist(), a
+
+
+@query(f"WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT}, {_MERGED} SELECT clip, number, row, merged_into FROM me")
+def q_merge_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cues that repeat a kept cue of the same type within 100 s and with 0.6 of the words."""
+    return _merged(spark, sf_dir)[0].select("clip", "number", "row", "merged_into")
+
+
+def _snapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    every, a = _merged(spark, sf_dir)
+    kept = every.where("merged_into IS NULL").drop("merged_into").withColumnRenamed("row", "source_row").withColumn("row", F.concat_ws("/", "clip", F.col("number").cast("string")))
+    return verify.snap(kept.drop("anchor"), a, _D, 250_000, 600_000, 50), every
+
+
+@query(f"WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT}, {_MERGED}, {_SNAPPED} SELECT clip, number, audio_type, to_anchor AS anchor, CAST(new_start AS BIGINT) AS start_ms, CAST(new_end AS BIGINT) AS end_ms, CAST(new_start - start_ms AS BIGINT) AS delta_ms FROM sn")
+def q_snap_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effects, speech and beds snapped to the anchors of their type, with ends and bounds."""
+    out, _ = _snapped(spark, sf_dir)
+    return out.select("clip", "number", "audio_type", F.col("to").alias("anchor"), F.col("new_start").alias("start_ms"), F.col("new_end").alias("end_ms"), F.col("delta").alias("delta_ms"))
+
+
 @query(f"""
-WITH {TL}, m AS (SELECT c.cue_id, a.t_ms, row_number() OVER (PARTITION BY c.cue_id ORDER BY abs(a.t_ms - c.start_ms), a.seq) AS rn FROM cue c JOIN tl a ON a.clip = c.clip AND a.kind IN ('audio_onset', 'sed_event') AND abs(a.t_ms - c.start_ms) <= 450000),
-x AS (SELECT c.*, m.t_ms, c.audio_type IN ('SFX', 'DIALOGUE', 'NARRATOR') AS judged, abs(m.t_ms - c.start_ms) AS gap FROM cue c LEFT JOIN m ON m.cue_id = c.cue_id AND m.rn = 1),
-y AS (SELECT *, start_ms AS old, CASE WHEN NOT judged OR gap <= 150000 THEN 'audible' WHEN gap <= 450000 THEN 'partially_audible' ELSE 'not_audible' END AS audibility, CASE WHEN judged AND gap <= 250000 THEN t_ms ELSE start_ms END AS snapped FROM x)
-SELECT cue_id, audio_type, audibility, snapped AS start_ms, CASE WHEN audibility = 'not_audible' THEN 'soft_reject' WHEN snapped <> old THEN 'retime' ELSE 'keep' END AS action, audibility = 'not_audible' AS rejected FROM y
+WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT}, {_MERGED}, {_SNAPPED},
+ve AS (SELECT clip, cue_id, arg_max(verdict, seq) AS verdict, arg_max(label, seq) AS label FROM (SELECT clip, seq, 'cue_' || (user_id % 50) AS cue_id, CASE WHEN k % 9 = 0 THEN 'drop' WHEN k % 7 = 0 THEN 'relabel' ELSE 'keep' END AS verdict, CASE WHEN k % 2 = 0 THEN audio_type ELSE ' ' END AS label FROM cue WHERE user_id % 2 = 0) GROUP BY clip, cue_id),
+ju AS (SELECT sn.*, ve.verdict, CASE WHEN verdict = 'relabel' AND trim(label) <> '' THEN label END AS new_label, audibility = 'not_audible' AND source <> 'asr' AND audio_type IN ('SFX', 'DIALOGUE', 'NARRATOR') AS unheard FROM sn LEFT JOIN ve USING (clip, cue_id)),
+fi AS (SELECT *, greatest(0, least(new_start, {_D} - 1)) AS fs FROM ju),
+fe AS (SELECT *, least(greatest(50, new_end - new_start), greatest({_D} - fs, 50)) AS fd, unheard OR coalesce(verdict = 'drop', false) AS gone FROM fi),
+id AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY clip, cue_id ORDER BY number) > 1 THEN cue_id || '_' || fs ELSE cue_id END AS final_id FROM fe WHERE NOT gone)
+SELECT clip, number, final_id AS cue_id, audio_type, coalesce(new_label, audio_type) AS label, CAST(fs AS BIGINT) AS start_ms, CAST(fd AS BIGINT) AS duration_ms, 'kept' AS stream FROM id
+UNION ALL SELECT clip, number, cue_id, audio_type, audio_type, CAST(fs AS BIGINT), CAST(fd AS BIGINT), CASE WHEN unheard THEN 'not_audible' ELSE 'judge' END FROM fe WHERE gone
+UNION ALL SELECT clip, number, cue_id, audio_type, audio_type, start_ms, duration_ms, 'merged' FROM me WHERE merged_into IS NOT NULL
 """)
 def q_verify_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audibility, snapping and soft rejection of effect and speech cues: every cue comes out kept or rejected, with its action."""
-    a = timeline(spark, sf_dir).where("kind IN ('audio_onset', 'sed_event')").select("clip", "t_ms", F.col("seq").alias("anchor"))
-    c = cues(spark, sf_dir).select("clip", "cue_id", "audio_type", "start_ms", "duration_ms")
-    x = nearest_within(c, a, ["clip"], "cue_id", "start_ms", "t_ms", 450_000, [F.abs(F.col("t_ms") - F.col("start_ms")), "anchor"], ["anchor", "t_ms"])
-    judged = F.col("audio_type").isin("SFX", "DIALOGUE", "NARRATOR")
-    gap = F.abs(F.col("t_ms") - F.col("start_ms"))
-    heard = F.when(~judged | (gap <= 150_000), "audible").when(gap <= 450_000, "partially_audible").otherwise("not_audible")
-    start = F.when(judged & (gap <= 250_000), F.col("t_ms")).otherwise(F.col("start_ms"))
-    action = F.when(heard == "not_audible", "soft_reject").when(start != F.col("start_ms"), "retime").otherwise("keep")
-    return x.select("cue_id", "audio_type", heard.alias("audibility"), start.alias("start_ms"), action.alias("action"), (heard == "not_audible").alias("rejected"))
+    """Audibility, splitting, merging, snapping, soft rejection, verdicts, bounds and ids: every cue comes out kept or in a rejected stream."""
+    snapped, every = _snapped(spark, sf_dir)
+    said = F.when(F.col("k") % 9 == 0, "drop").when(F.col("k") % 7 == 0, "relabel").otherwise("keep")
+    verdicts = cues(spark, sf_dir).where("user_id % 2 = 0").select("clip", F.col("seq").alias("at"), F.concat(F.lit("cue_"), (F.col("user_id") % 50).cast("string")).alias("cue_id"), said.alias("verdict"), F.when(F.col("k") % 2 == 0, F.col("audio_type")).otherwise(" ").alias("label"))
+    judged = verify.with_verdicts(snapped, verdicts)
+    unheard = (F.col("audibility") == "not_audible") & (F.col("source") != "asr") & F.col("audio_type").isin(*verify.JUDGED)
+    start = clamp(F.col("new_start"), 0, _D - 1)
+    length = F.least(F.greatest(F.lit(50), F.col("new_end") - F.col("new_start")), F.greatest(_D - start, F.lit(50)))
+    stream = F.when(unheard, "not_audible").when(F.col("verdict") == "drop", "judge").otherwise("kept")
+    final = judged.select("clip", "number", "cue_id", "audio_type", F.coalesce("new_label", "audio_type").alias("label"), start.cast("long").alias("start_ms"), length.cast("long").alias("duration_ms"), stream.alias("stream"))
+    kept = verify.unique_ids(final.where("stream = 'kept'"), ["number"], "start_ms")
+    gone = final.where("stream != 'kept'").withColumn("label", F.col("audio_type"))
+    merged = every.where("merged_into IS NOT NULL").select("clip", "number", "cue_id", "audio_type", F.col("audio_type").alias("label"), F.col("start_ms").cast("long").alias("start_ms"), F.col("duration_ms").cast("long").alias("duration_ms"), F.lit("merged").alias("stream"))
+    return kept.unionByName(gone).unionByName(merged)

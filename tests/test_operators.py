@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def test_expressions(spark):
     ).first()
     assert row.even == 2 and abs(row.r - 29.97002997) < 1e-6 and row.none is None and row.na is None
     assert row.t == ["clos", "door", "knock", "glass"]
-    assert row.zero == 0 and row.kind == "DIALOGUE" and row.group == "noise_burst" and row.e == "ERROR: gone"
+    assert row.zero == 0 and row.kind == "DIALOGUE" and row.group == "noise_burst" and row.e == "video is not downloadable: gone"
 
 
 def test_tables(spark):
@@ -116,3 +117,62 @@ def test_files(spark, tmp_path):
     assert {tuple(r) for r in read_audacity(spark, str(track)).collect()} == {(500.0, 1250.0, "door slam"), (3000.0, 4000.0, "a b")}
     lines = audacity_lines(spark.createDataFrame([(500, 510, "a\tb")], "s long, e long, l string"), "s", "e", "l").collect()
     assert lines[0].value == "0.500000\t0.550000\ta b"
+
+
+def test_text_functions_follow_their_examples(spark):
+    from anchorline.functions.text import PROPOSAL_STOPWORDS, STOPWORDS, VERIFY_STOPWORDS, fill, last_error_line, threshold_of, tokens, video_id
+
+    assert set(VERIFY_STOPWORDS) - set(STOPWORDS) == {"not"} and set(PROPOSAL_STOPWORDS) - set(VERIFY_STOPWORDS) == {"none"}
+    said = [("a\nERROR: gone\n", "video is not downloadable: gone"), ("Video is not downloadable: ERROR: x", "video is not downloadable: x"), ("plain", "video is not downloadable: plain"), ("y" * 400, "video is not downloadable: " + "y" * 300)]
+    df = spark.createDataFrame(said, "text string, want string")
+    assert all(r.got == r.want for r in df.select("want", last_error_line(F.col("text")).alias("got")).collect())
+    urls = {"https://www.youtube.com/watch?a=1&v=abc_DEF-123#x": "abc_DEF-123", "https://youtu.be/abcdefghijk?t=1": "abcdefghijk", "https://youtube.com/shorts/abcdefgh": "abcdefgh", "https://youtube.com/watch?v=": None, "https://youtube.com/watch/abcdefgh": None, "https://vimeo.com/abcdefgh": None, "https://youtu.be/abc": None}
+    df = spark.createDataFrame(list(urls.items()), "url string, want string")
+    assert all(r.got == r.want for r in df.select("want", video_id(F.col("url")).alias("got")).collect())
+    row = spark.createDataFrame([("none of the bells", None)], "a string, b string").select(tokens(F.col("a")).alias("x"), tokens(F.col("a"), PROPOSAL_STOPWORDS).alias("y"), fill("{a}: {{{b}}}", {"a": F.col("a"), "b": F.col("b")}).alias("z"), threshold_of(F.lit("Glass"), {"Glass": 0.9}).alias("t"), threshold_of(F.lit("?")).alias("u")).first()
+    assert row.x == ["none", "bell"] and row.y == ["bell"] and row.z == "none of the bells: {}" and row.t == 0.9 and row.u is None
+
+
+def test_json_sources(spark, tmp_path):
+    import json
+
+    from anchorline.sources import files
+
+    for v, names in (("a", ("video_metadata", "processing_status")), ("b", ("video_metadata", "processing_status"))):
+        (tmp_path / "clips" / v).mkdir(parents=True)
+        for n in names:
+            (tmp_path / "clips" / v / f"{n}.json").write_text(json.dumps({"n": 1, "state": v}))
+    got = files.read_clip_tables(spark, str(tmp_path / "clips"), "n int, state string", "state string").collect()
+    assert sorted((r.directory, r.meta.n, r.status.state) for r in got) == [("a", 1, "a"), ("b", 1, "b")]
+    (tmp_path / "clips" / "c").mkdir()
+    (tmp_path / "clips" / "c" / "video_metadata.json").write_text("{}")
+    with pytest.raises(Exception, match="missing c/processing_status.json"):
+        files.read_clip_tables(spark, str(tmp_path / "clips"), "n int, state string", "state string").collect()
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "x.json").write_text(json.dumps({"clip_id": "v/clip_1", "n": 1}, indent=1))
+    (tmp_path / "gold" / "y.json").write_text(json.dumps({"n": 2}))
+    gold = {r.alias: (r.clip_id, r.n) for r in files.read_gold(spark, str(tmp_path / "gold"), "clip_id string, n int").collect()}
+    assert gold == {"v/clip_1": ("v/clip_1", 1), "clip_1": ("v/clip_1", 1), "v_clip_1": ("v/clip_1", 1), "y": ("y", 2)}
+    log = tmp_path / "run.log"
+    log.write_text('#LOG\n\n# note\n{"event": "a", "n": 1}\n  {"event": "b"}\n')
+    assert sorted((r.event.event, r.event.n) for r in files.read_event_log(spark, str(log), "#LOG", "event string, n int").collect()) == [("a", 1), ("b", None)]
+    with pytest.raises(ValueError, match="not an event log"):
+        files.read_event_log(spark, str(log), "#OTHER", "event string")
+    sheet = str(tmp_path / "links")
+    files.create_link_sheet(spark, sheet)
+    files.create_link_sheet(spark, sheet)
+    assert tuple(files.read_link_sheet(spark, sheet).columns) == files.LINK_COLUMNS
+    rows = spark.createDataFrame([("u1", " Processed", "DONE"), ("u2", "extracted", "done"), ("u3", "done", "processed"), ("", "", "")], "youtube_url string, status string, extract_status string")
+    assert {r.youtube_url for r in files.pending_links(rows).collect()} == {"u2", "u3"} and files.pending_links(rows, force=True).count() == 3
+
+
+def test_dense_timeline_folds(spark):
+    """A piece of many rows without gaps, against a loop."""
+    n = 20_000
+    rows = [(i * 3 + i * 7 % 5, i, float(i * 31 % 50)) for i in range(n)]
+    df = spark.createDataFrame(rows, "t long, seq long, rank double").withColumn("clip", F.lit("c"))
+    kept, last = 0, None
+    for t, _, _ in sorted(rows):
+        if last is None or t - last >= 40:
+            kept, last = kept + 1, t
+    assert keep_first_gap(df, ["clip"], "t", "seq", 40).count() == kept
