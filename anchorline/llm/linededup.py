@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import bound_batches
+from anchorline.llm.common import bound_batches, stored
 
+#: Line hashes that may be broadcast: at most so many rows of 16 bytes.
+BROADCAST_ROWS = 1_000_000
 _ID, _ROW, _LINES, _DROP = ("__line_doc", "__line_row", "__line_lines", "__line_drop")
 
 
@@ -59,8 +61,10 @@ def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     base = df.select(*kept, row.alias(_ROW), F.split(text, "\n").alias(_LINES))
     bound_batches(df.sparkSession)
     keyed = _keyed(df.select(F.col(id_col).alias(_ID), row.alias(_ROW), F.col(text_col)), min_chars)
-    common = keyed.select("h", _ID).distinct().groupBy("h").count().where(F.col("count") >= min_docs).select("h")
-    drops = keyed.join(common, "h").groupBy(_ROW).agg(F.collect_set("pos").alias(_DROP))
+    common = stored(keyed.select("h", _ID).distinct().groupBy("h").count().where(F.col("count") >= min_docs).select("h"))
+    # Hashes go by broadcast only where their number is known to be small: a very common line then stays where it is read.
+    few = F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
+    drops = keyed.join(few, "h").groupBy(_ROW).agg(F.collect_set("pos").alias(_DROP))
     joined = base.join(drops, _ROW, "left")
     every = F.sequence(F.lit(0), F.size(_LINES) - 1)
     left = F.when(F.col(_DROP).isNull(), F.col(_LINES)).otherwise(F.transform(F.array_except(every, _DROP), lambda i: F.get(_LINES, i)))
