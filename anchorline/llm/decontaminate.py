@@ -12,8 +12,10 @@ The documents are read once for each block of items and nothing is shuffled; wha
 broadcast is one block of items, whose size is bounded by ``block_shingles``.
 
 Words: runs of letters, digits and non-ASCII characters, A-Z lower-cased. Defined
-cases: an item or a document with fewer than ``k`` words has its whole sequence as its
-one shingle; one without words has none and never matches; null texts count as empty;
+cases: an item with fewer than ``k`` words has its whole sequence as its one shingle and
+is found wherever a text holds these words in a row; a document with fewer than ``k``
+words holds only such items; one without words has none and never matches; null texts
+count as empty; items with null ids are judged like others and reported with a null id;
 repeated rows are judged alike; an empty table of items marks nothing.
 """
 
@@ -44,11 +46,19 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Items:
     """One bounded block of items: sets, and sorted signature values for each size partition and register."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], registers: int):
+    def __init__(self, ids: list[int | None], sets: list[np.ndarray], words: list[int], registers: int, k: int):
         self.ids, self.sets, self.registers = ids, sets, registers
+        # Items shorter than a shingle, by their number of words: sorted hashes and their items.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted({n for n in words if n < k}):
+            mine = np.array([i for i, m in enumerate(words) if m == n])
+            v = np.array([sets[i][0] for i in mine])
+            self.short[n] = v[o := np.argsort(v, kind="stable")], mine[o]
         x, a = _permutations(registers)
         by_level: dict[int, list[int]] = {}
         for i, s in enumerate(sets):
+            if words[i] < k:
+                continue
             by_level.setdefault(-1 if len(s) < BASE // 2 else max(0, (len(s) - 1).bit_length() - (BASE.bit_length() - 1)), []).append(i)
         self.levels: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         self.seen: dict[int, np.ndarray] = {}
@@ -75,7 +85,7 @@ class Items:
     def candidates(self, hashes: np.ndarray, rows: np.ndarray) -> set[tuple[int, int]]:
         """(row, item) that agree somewhere. hashes: shingles in text order; rows: their rows, ascending."""
         found: set[tuple[int, int]] = set()
-        if not len(hashes):
+        if not len(hashes) or not self.levels:
             return found
         if -1 in self.levels:
             self._hits(-1, 0, hashes, rows, found)
@@ -98,17 +108,30 @@ class Items:
         return found
 
 
+    def short_matches(self, words: Words) -> set[tuple[int, int]]:
+        """(row, item) of items shorter than a shingle whose words a row holds in a row."""
+        found: set[tuple[int, int]] = set()
+        row = words.row_of()
+        for n, (keys, members) in self.short.items():
+            places = run_starts(words, n)
+            hashes = runs(words.hashes, n)[places]
+            low, high = np.searchsorted(keys, hashes, "left"), np.searchsorted(keys, hashes, "right")
+            for j in np.flatnonzero(high > low):
+                found.update((int(row[places[j]]), int(m)) for m in members[low[j] : high[j]])
+        return found
+
+
 def item_sets(items: DataFrame, *, id_col: str, text_col: str, k: int) -> DataFrame:
-    """item_id and the sorted distinct shingles of each item that has words."""
+    """item_id, the sorted distinct shingles and the number of words of each item that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, words in pieces(b, "text", lower=True, letters=True):
                 sets = pa.array([s.view(np.int64) for s in shingle_sets(words, k)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), sets], ["item_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), sets, pa.array(words.counts.astype(np.int64))], ["item_id", "shingles", "words"])
 
-    chosen = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where(F.col("item_id").isNotNull())
-    return chosen.mapInArrow(run, "item_id long, shingles array<bigint>").where(F.size("shingles") > 0)
+    chosen = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
+    return chosen.mapInArrow(run, "item_id long, shingles array<bigint>, words long").where(F.size("shingles") > 0)
 
 
 def mark_contamination(
@@ -136,7 +159,7 @@ def mark_contamination(
     for n in range(blocks):
         # One bounded block of items: its shingles, as many as block_shingles in the mean.
         own = sets.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == n).collect()
-        shared = spark.sparkContext.broadcast(Items([r[0] for r in own], [np.array(r[1], np.int64).view(U) for r in own], registers))
+        shared = spark.sparkContext.broadcast(Items([r[0] for r in own], [np.array(r[1], np.int64).view(U) for r in own], [r[2] for r in own], registers, k))
         out = out.mapInArrow(_marker(shared, kept, text_col, matches_col, k, threshold), schema)
     return out
 
@@ -148,18 +171,14 @@ def _marker(shared, kept: list[str], text_col: str, matches_col: str, k: int, th
             for part, words in pieces(b, text_col, lower=True, letters=True):
                 places = run_starts(words, k)
                 hashes, rows = runs(words.hashes, k)[places], words.row_of()[places]
-                short = np.flatnonzero((words.counts > 0) & (words.counts < k))
-                if len(short):
-                    extra = [runs(words.hashes[words.offsets[i] : words.offsets[i + 1]], int(words.counts[i]))[0] for i in short]
-                    hashes, rows = np.append(hashes, np.array(extra, U)), np.append(rows, short)
-                    order = np.argsort(rows, kind="stable")
-                    hashes, rows = hashes[order], rows[order]
                 matches: list[list[dict]] = part.column(part.schema.get_field_index(matches_col)).to_pylist()
                 for row, item in sorted(items.candidates(hashes, rows)):
                     own = hashes[np.searchsorted(rows, row) : np.searchsorted(rows, row, "right")]
                     there = int(np.isin(items.sets[item], own).sum())
                     if there >= threshold * len(items.sets[item]):
                         matches[row] = [*matches[row], {"item_id": items.ids[item], "item_shingles": len(items.sets[item]), "shared": there}]
+                for row, item in sorted(items.short_matches(words)):
+                    matches[row] = [*matches[row], {"item_id": items.ids[item], "item_shingles": 1, "shared": 1}]
                 columns = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(matches, _KIND)], [*kept, matches_col])
 

@@ -146,10 +146,13 @@ def test_contamination(spark, edge_docs, no_docs):
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = Counter()
     for d, t in docs:
-        s = letters(t)
+        w = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (t or "").translate(LOWER))
         for i, x in items:
             q = letters(x)
-            if i is not None and q and len(q & s) >= 0.8 * len(q):
+            n = len(next(iter(q))) if len(q) == 1 else 5
+            # An item shorter than a shingle is found wherever its words stand in a row.
+            s = letters(t) if n >= 5 else {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}
+            if q and len(q & s) >= 0.8 * len(q) and (n < 5 or len(w) >= 5):
                 want[d, i, len(q), len(q & s)] += 1
     for block in (1_000_000, 400):
         out = mark_contamination(df, bench, block_shingles=block)
