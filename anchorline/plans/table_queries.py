@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from anchorline.functions.numeric import clamp, half_even, or_else
-from anchorline.functions.text import ONTOLOGY, STOPWORDS, index_suffix, map_label, overlap, rate, stable_split, stem_name, tokens
+from anchorline.functions.text import ONTOLOGY, STOPWORDS, index_suffix, map_label, overlap, rate, stem_name, tokens
 from anchorline.operators.joins import nearest_within
 from anchorline.plans.registry import query
 from anchorline.plans.views import TL, cues, sql_tokens, table, timeline
@@ -120,15 +120,15 @@ def q_distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders), s AS (SELECT id, CAST('0x' || left(sha256(id), 8) AS BIGINT) % 100 AS n FROM k),
-l AS (SELECT id, CASE WHEN n < 80 THEN 'train' WHEN n < 90 THEN 'validation' ELSE 'test' END AS split FROM s)
-SELECT x.split, count(l.id) AS n, coalesce(string_agg(l.id, ',' ORDER BY l.id), '') AS ids FROM (SELECT unnest(['train', 'validation', 'test']) AS split) x LEFT JOIN l USING (split) GROUP BY x.split
+l AS (SELECT id, CASE WHEN n < 80 THEN 'train' WHEN n < 90 THEN 'validation' ELSE 'test' END AS split FROM s), c AS (SELECT split, count(*) AS n FROM l GROUP BY split)
+SELECT split, id, n FROM l JOIN c USING (split)
 """)
 def q_split_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"))
-    # The query's SQL asks for one text for each split; the lists themselves are rows.
-    got = split_lists(ids, "id").groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
-    names = spark.createDataFrame([(x,) for x in ("train", "validation", "test")], "split string")
-    return names.join(got, "split", "left").select("split", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.coalesce("ids", F.lit("")).alias("ids"))
+    """The members of each split, a row each, and how many the split has: no list is gathered."""
+    lists = split_lists(table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id")), "id")
+    # One row for each of three splits.
+    sizes = lists.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return lists.join(F.broadcast(sizes), "split").select("split", "id", "n")
 
 
 @query("""
@@ -193,7 +193,9 @@ SELECT user_id, left(string_agg(event_id || ': ERROR: k=' || json_extract_string
 """)
 def q_error_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.concat(F.col("event_id").cast("string"), F.lit(": ERROR: k="), F.get_json_object("props", "$.k"))
-    x = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", F.struct("event_id", said.alias("m")).alias("x"))
+    # A message has ten characters at least, so the first fifty fill the text: no more are gathered.
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    x = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", F.struct("event_id", said.alias("m")).alias("x"), nth.alias("nth")).where("nth <= 50")
     return x.groupBy("user_id").agg(F.left(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda e: e["m"]), "; "), F.lit(500)).alias("errors"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from anchorline.functions.numeric import clamp, half_even, parabolic_shift
+from anchorline.functions.numeric import clamp, parabolic_shift
 from anchorline.functions.text import VERIFY_STOPWORDS, tokens
 from anchorline.operators import verify
 from anchorline.operators.folds import clusters, fold, keep_first_gap
