@@ -165,24 +165,27 @@ def fit_counts(words: list[bytes], counts: np.ndarray) -> Model:
     for _, h, alive in _beginnings(letters):
         key, first, place = np.unique(h[alive], return_index=True, return_inverse=True)
         nodes.append(key)
-        mass.append(np.column_stack([np.bincount(place, weight[alive, c], len(key)) for c in range(3)]))
+        mass.append(np.column_stack([np.bincount(place, weight[alive, c], len(key)).astype(np.float32) for c in range(3)]))
         parents.append(before[alive][first])
         before = h
     node, own, parent = np.concatenate(nodes), np.concatenate(mass), np.concatenate(parents)
+    del nodes, mass, parents
     order = np.argsort(node)
     node, own, parent = node[order], own[order], parent[order]
-    root = own[np.isin(parent, U(1))].sum(axis=0)
+    root = own[parent == 1].sum(axis=0, dtype=np.float64)
     up = np.searchsorted(node, parent)
-    up = np.where((up < len(node)) & (node[np.minimum(up, len(node) - 1)] == parent), up, -1)
-    total = np.where(up[:, None] >= 0, own[up], root)
-    d = np.array([_discount(own[:, c]) for c in range(3)])
-    lean = np.array([SHARED, SHARED, 0.0])
-    share = np.divide(np.maximum(own - d, 0), total + lean, out=np.zeros_like(own), where=total + lean > 0)
-    kinds = np.zeros((len(node) + 1, 3))
-    for c in range(3):
-        np.add.at(kinds[:, c], up, np.minimum(own[:, c], d[c]))  # place -1, the last, is the root
-    left = np.divide(kinds[:-1] + lean, own + lean, out=np.ones_like(own), where=own + lean > 0)
-    root_left = np.divide(kinds[-1] + lean, root + lean, out=np.ones(3), where=root + lean > 0)
+    # Place len(node), past the last, stands for the root.
+    up[(up == len(node)) | (node[np.minimum(up, len(node) - 1)] != parent)] = len(node)
+    del order, parent
+    d, lean = np.array([_discount(own[:, c]) for c in range(3)]), np.array([SHARED, SHARED, 0.0])
+    share, left, root_left = np.empty_like(own), np.empty_like(own), np.ones(3)
+    for c in range(3):  # column by column: no array of all three in double precision
+        whole = np.append(own[:, c], root[c])
+        kinds = np.bincount(up, np.minimum(own[:, c], d[c]), len(node) + 1)
+        total = whole[up] + lean[c]
+        share[:, c] = np.divide(np.maximum(own[:, c] - d[c], 0), total, out=np.zeros_like(total), where=total > 0)
+        rest = np.divide(kinds + lean[c], whole + lean[c], out=np.ones_like(kinds), where=whole + lean[c] > 0)
+        left[:, c], root_left[c] = rest[:-1], rest[-1]
     # Letter pairs by continuation: in how many different beginnings a letter follows another.
     at = [(p, x) for p, x in zip(np.column_stack([np.zeros(len(words), np.uint8), letters[:, :-1]]).T, letters.T, strict=True)]
     pairs = np.zeros((256, 256))
@@ -191,7 +194,7 @@ def fit_counts(words: list[bytes], counts: np.ndarray) -> Model:
         np.add.at(pairs, (p[alive][first], x[alive][first]), 1)
     single = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 128)
     pairs = (np.maximum(pairs - 0.75, 0) + (0.75 * (pairs > 0).sum(axis=1, keepdims=True) + 1e-3) * single) / (pairs.sum(axis=1, keepdims=True) + 1e-3)
-    return Model(node, share.astype(np.float32), left.astype(np.float32), root_left, pairs.astype(np.float32), np.zeros(3 + len(TELLING)))
+    return Model(node, share, left, root_left, pairs.astype(np.float32), np.zeros(3 + len(TELLING)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, one_weight: float = 1.0, penalty: float = 1e-2, steps: int = 60) -> np.ndarray:
