@@ -1,14 +1,15 @@
-"""Substring dedup by prefix-partitioned suffix trees of words.
+"""Substring dedup: repeated windows of words, in groups by prefixes of variable length.
 
 Every word begins a suffix. Suffixes are split into groups by a prefix of variable
 length: one word where that word is rare enough, else two, three and more words, so
 that groups fit in a task's memory. Which prefixes are too frequent is learnt from a
-bounded sample of documents (``sample_docs``); this only balances the groups. In a
-group the subtree is built down to depth ``window``: suffixes sorted by their first
-``window`` words, each run of equal ones being an internal node that deep. A node's
-first document keeps its words; every other document under it repeats them. Prefixes
-of full depth that are still too frequent need no tree: a node's first document is
-then a plain minimum, aggregated before the shuffle.
+sample of documents that grows with the groups; this only balances the groups. In a
+group suffixes are sorted by the hash of their first ``window`` words; a run of equal
+ones stands for the internal node of that depth in the prefix's suffix tree. The tree
+itself is not built: deeper nodes would need the words after the window, a dozen times
+the text, in the shuffle. A node's first document keeps its words; every other document
+under it repeats them. Prefixes of full depth that are still too frequent need no
+sorting: a node's first document is then a plain minimum, aggregated before the shuffle.
 
 A suffix is compared by the 64-bit hash of its first ``window`` words. Nodes send back
 (document, node) pairs only, and whole texts move only for documents that lose words.
@@ -205,7 +206,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(parts(spark), -(-size // group_bytes))
-    frequent = frequent_prefixes(named, window, groups, sample_docs)
+    # A prefix that fills an eighth of a group is seen several times in the sample, however many groups there are.
+    frequent = frequent_prefixes(named, window, groups, max(sample_docs, groups // 4))
     firsts = _firsts(named, window, frequent[window]) if len(frequent.get(window, ())) else {}
     found = stored(repeats(named, window, groups, frequent))
     keys = found.select(F.col("id").alias("__id"), F.col("keys").alias("__keys"))
