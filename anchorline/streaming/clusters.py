@@ -28,15 +28,25 @@ def session_clusters(events: DataFrame, gap: str = "40 seconds", late: str = "10
 
 
 def upsert_stream(changes: DataFrame, path: str, keys: Sequence[str], order: str, checkpoint: str) -> StreamingQuery:
-    """Keep a Parquet table of the last row of each key, batch by batch.
+    """Write the last row of each key of each batch to a folder of the batch's own; ``read_upserts`` merges them.
 
-    Each batch writes a new version folder; readers take the highest number, so a batch
-    that is run again after a failure overwrites its own version only.
+    A batch's work follows its changes, not the table; one that is run again after a failure overwrites its own folder only.
     """
 
     def one(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.schema(batch.schema).parquet(f"{path}/v={epoch - 1}") if epoch else batch.limit(0)
-        upsert_latest(old, batch, keys, order).write.mode("overwrite").parquet(f"{path}/v={epoch}")
+        upsert_latest(batch.limit(0), batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
 
     return changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], order: str) -> DataFrame:
+    """The table that the batches below ``path`` make: of each key the row of its last batch, combined before the shuffle."""
+    every = spark.read.parquet(path)
+    values = [c for c in every.columns if c not in (*keys, "batch")]
+    last = every.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct("batch", order)).alias("v"))
+    return last.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
+
+def compact_upserts(spark: SparkSession, path: str, to: str, keys: Sequence[str], order: str) -> None:
+    """The merged table as the one batch of a new folder, for a stream that goes on there."""
+    read_upserts(spark, path, keys, order).write.parquet(f"{to}/batch=-1")

@@ -5,7 +5,7 @@ import pytest
 
 from anchorline import adapters, config
 from anchorline.functions import signal
-from anchorline.streaming.clusters import read_events, session_clusters, upsert_stream
+from anchorline.streaming.clusters import compact_upserts, read_events, read_upserts, session_clusters, upsert_stream
 
 SR = 32_000
 
@@ -55,8 +55,12 @@ def test_upsert_stream(spark, tmp_path):
         spark.createDataFrame(rows, "k long, v long, s string").coalesce(1).write.mode("append").parquet(str(folder))
         changes = spark.readStream.schema("k long, v long, s string").parquet(str(folder))
         upsert_stream(changes, str(tmp_path / "t"), ["k"], "v", str(tmp_path / "cp")).awaitTermination()
-    last = spark.read.parquet(str(tmp_path / "t" / "v=1")).collect()
-    assert {tuple(r) for r in last} == {(1, 1, "a"), (2, 2, "c"), (3, 1, "d")}
+    want = {(1, 1, "a"), (2, 2, "c"), (3, 1, "d")}
+    assert {tuple(r) for r in read_upserts(spark, str(tmp_path / "t"), ["k"], "v").collect()} == want
+    # A batch holds its own changes only.
+    assert spark.read.parquet(str(tmp_path / "t" / "batch=1")).count() == 2
+    compact_upserts(spark, str(tmp_path / "t"), str(tmp_path / "u"), ["k"], "v")
+    assert {tuple(r) for r in read_upserts(spark, str(tmp_path / "u"), ["k"], "v").collect()} == want
 
 
 def test_config():
