@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, pitman_yor, substrings, toxicity, urltree
-from anchorline.llm.common import table
+from anchorline.llm import avi, chat, decontaminate, linededup, neardup, packing, pitman_yor, repair, sharding, substrings, toxicity, urltree, variants
+from anchorline.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -91,8 +91,36 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return avi.read_media(stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.group_variants(variants.count_words(variants.words_of(docs, damage=199), least_n=5))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults; dropped rows stay as rows that are not ``present``."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    role = F.when(fault == 4, "user").otherwise(space("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy")
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (fault != 0).alias("present"), copies).drop("copy")
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged_turns(table(spark, sf_dir, "conversations"))
+    repairs = stored(repair.find_repairs(rows))
+    made = repair.digests(repair.repaired_turns(rows, repairs)).withColumnRenamed("conv_id", "id")
+    joined = repairs.join(made, repairs["conv_id"].eqNullSafe(made["id"]), "left")
+    return joined.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_scoring, op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op8_substring_dedup, op9_line_dedup, op10_media_columns)
+    f.__name__: f for f in (op1_lm_scoring, op2_chat_formatting, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_url_filters, op6_packing, op7_toxicity, op8_substring_dedup, op9_line_dedup, op10_media_columns, op11_spelling_variants, op12_sharding, op13_structure_repair)
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -143,6 +171,23 @@ FROM tested LEFT JOIN pool USING (host, level, parent) WHERE n > 0 OR (merged >=
 found AS (SELECT host, gen, arg_max(en, level) AS en, arg_max(eb, level) AS eb FROM pre JOIN evidence USING (host, prefix) WHERE NOT own OR level = len(gen) GROUP BY host, gen),
 j AS (SELECT host, raw, array_to_string(gen, '/') AS template, (coalesce(eb, 0) + 2.0::DOUBLE) / (coalesce(en, 0) + 4.0::DOUBLE) AS purity FROM l12 LEFT JOIN found USING (host, gen))
 SELECT page_id, host, path, rule, template, purity, coalesce(said, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict FROM b JOIN j USING (host, raw)
+""",
+    "op11_spelling_variants": f"""
+WITH RECURSIVE bits AS (SELECT i, i AS c, 0 AS step FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1 FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE step = 8),
+run AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{6,}}')), {_LOWER}) AS w FROM documents),
+seen AS (SELECT doc_id, w, count(*) AS n FROM run GROUP BY doc_id, w),
+bytes AS (SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)) AS b FROM seen),
+hashed AS (SELECT doc_id, w, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c // 256, tab[xor(c, x) % 256 + 1])), 4294967295) AS h FROM bytes, crc),
+cut AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS INT)) || substring(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word, n FROM hashed),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+short AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS s FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word, b.word AS other, b.n FROM short a JOIN short b ON a.i = b.i AND a.s = b.s AND a.word != b.word
+UNION SELECT a.word, v.word, v.n FROM short a JOIN v ON a.s = v.word UNION SELECT v.word, a.word, a.n FROM short a JOIN v ON a.s = v.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, (-n, other)) AS other FROM near GROUP BY word),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * v.n THEN other END AS form, CASE WHEN top >= 5 * v.n THEN top END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at, form AS further FROM f UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.further)
+SELECT f.*, walk.at AS root FROM f JOIN walk USING (word) WHERE walk.further IS NULL
 """,
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), {_LETTERS}) AS w FROM documents),
