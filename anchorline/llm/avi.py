@@ -168,6 +168,9 @@ def decode_samples(frame: bytes) -> np.ndarray:
     if len(t["scan"]) == 1:  # one component: blocks in rows, whatever its sampling
         across = down = h = v = 1
     wide, high = -(-t["width"] // (8 * across)), -(-t["height"] // (8 * down))
+    # A block takes two bits at least, so a header can't ask for more samples than its data holds.
+    if wide * high * (1 if len(t["scan"]) == 1 else sum(x[0] * x[1] for x in t["parts"].values())) > 4 * len(frame):
+        raise ValueError("a frame whose size its data can't fill")
     plane = np.zeros((high * v * 8, wide * h * 8), np.float32)
     end = frame.rfind(b"\xff\xd9")
     runs = _RESTART.split(frame[t["at"] : end if end >= 0 else len(frame)])
@@ -210,19 +213,23 @@ def samples(payload: bytes) -> np.ndarray:
     return np.clip(out / 4 + 128, 0, 255).astype(np.uint8).reshape(-1, PER_FRAME, 8, 8)
 
 
+#: Holds the payload's length in files written here.
+LENGTH_CHUNK = b"aPLN"
+
+
 def _chunk(name: bytes, body: bytes) -> bytes:
     return name + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
 
 
 def write_avi(payload: bytes) -> bytes:
-    """An AVI file of motion-JPEG frames with an idx1 index; the payload's length is in the ICMT info chunk."""
+    """An AVI file of motion-JPEG frames with an idx1 index; the payload's length is in a chunk of its own, which other readers skip."""
     frames = encode_frames(payload)
     most = max(map(len, frames))
     avih = struct.pack("<14I", 1_000_000 // FPS, most * FPS, 0, 0x10, len(frames), 0, 1, most, SIDE, SIDE, 0, 0, 0, 0)
     strh = b"vidsMJPG" + struct.pack("<IHHIIIIIIiI4H", 0, 0, 0, 0, 1, FPS, 0, len(frames), most, -1, 0, 0, 0, SIDE, SIDE)
     strf = struct.pack("<IiiHH4sIiiII", 40, SIDE, SIDE, 1, 8, b"MJPG", SIDE * SIDE, 0, 0, 0, 0)
     head = _chunk(b"LIST", b"hdrl" + _chunk(b"avih", avih) + _chunk(b"LIST", b"strl" + _chunk(b"strh", strh) + _chunk(b"strf", strf)))
-    info = _chunk(b"LIST", b"INFO" + _chunk(b"ICMT", str(len(payload)).encode()))
+    info = _chunk(LENGTH_CHUNK, struct.pack("<Q", len(payload)))
     movi, index, at = [b"movi"], [], 4
     for f in frames:
         c = _chunk(b"00dc", f)
@@ -246,9 +253,8 @@ def read_avi(data: bytes) -> tuple[list[bytes], int | None, float]:
             movi = at + 8
         elif name == b"LIST" and kind == b"hdrl" and data[at + 12 : at + 16] == b"avih":
             rate = 1e6 / max(1, struct.unpack_from("<I", data, at + 20)[0])
-        elif name == b"LIST" and kind == b"INFO" and data[at + 12 : at + 16] == b"ICMT":
-            n = struct.unpack_from("<I", data, at + 16)[0]
-            length = int(data[at + 20 : at + 20 + n])
+        elif name == LENGTH_CHUNK and size == 8:
+            length = struct.unpack_from("<Q", data, at + 8)[0]
         elif name == b"idx1":
             index = data[at + 8 : at + 8 + size]
         at += 8 + size + size % 2

@@ -1,8 +1,9 @@
 """Words of whole Arrow batches as 64-bit hashes, without a Python loop over words.
 
 A word is a longest run of bytes outside ``[\\x20\\x09-\\x0D]``; in UTF-8 those
-bytes never occur inside a longer character. A word's hash is a polynomial in its
-bytes modulo 2**64 (prefix sums give all words at once), mixed with its length.
+bytes never occur inside a longer character. A word's hash is two polynomials in its
+bytes, modulo two primes below 2**31 (prefix sums give all words at once), mixed with its
+length: modulo a power of two, long regular words would clash whatever the base.
 """
 
 from __future__ import annotations
@@ -13,15 +14,19 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+#: Multiplier of runs of word hashes.
 _BASE = 0x9E3779B97F4A7C55
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: The largest primes below 2**31, each with a base of its own for the bytes of a word.
+_FIELDS = ((2147483647, 1103515249), (2147483629, 1566083947))
+#: Bytes whose unreduced terms, below 2**39 each, still sum without overflow.
+_UNREDUCED = 1 << 24
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Also apart at ASCII punctuation and control characters: runs of letters, digits and all non-ASCII characters.
 _NO_WORD = np.array([x < 128 and not chr(x).isalnum() for x in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[int, np.ndarray] = {}
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,15 +36,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
+def _power(base: int, prime: int, n: int) -> np.ndarray:
+    """The powers of ``base`` modulo ``prime``, n of them or more."""
+    have = _powers.get((base, prime))
     if have is None or len(have) < n:
-        a = np.full(max(n, 1 << 19), base, U)
-        a[0] = 1
-        have = _powers[base] = np.multiply.accumulate(a)
+        have = np.ones(1, U)
+        while len(have) < max(n, 1 << 19):
+            have = np.concatenate((have, have * U(pow(base, len(have), prime)) % U(prime)))
+        _powers[base, prime] = have
     return have
 
 
+def _residues(data: np.ndarray, start: np.ndarray, end: np.ndarray, prime: int, base: int) -> np.ndarray:
+    """The polynomial of the bytes of each stretch modulo ``prime``."""
+    n, p = len(data), U(prime)
+    sums = np.zeros(n + 1, U)
+    terms = sums[1:]
+    terms[:] = data
+    terms += U(1)
+    terms *= _power(base, prime, n)[:n]
+    if n > _UNREDUCED:
+        terms %= p
+    np.cumsum(terms, out=terms)
+    # Powers come down with the place, so that equal words have equal values wherever they stand.
+    return (sums[end] - sums[start]) % p * _power(pow(base, -1, prime), prime, n)[start] % p
+
+
 class Words:
     """The words of some rows: ``hashes``, ``offsets`` of each row's first word, and byte places."""
 
@@ -60,14 +82,9 @@ class Words:
         last = solid.copy()
         last[:-1] &= ~solid[1:] | cut[1:n]
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        sums = np.zeros(n + 1, U)
-        terms = sums[1:]
-        terms[:] = data
-        terms += U(1)
-        terms *= _power(_BASE, n)[:n]
-        np.cumsum(terms, out=terms)
+        low, high = (_residues(data, self.start, self.end, prime, base) for prime, base in _FIELDS)
         length = (self.end - self.start).astype(U)
-        self.hashes = mix((sums[self.end] - sums[self.start]) * _power(_INVERSE, n)[self.start] + length * U(0xD6E8FEB86659FD93))
+        self.hashes = mix((high << U(31) | low) + length * U(0xD6E8FEB86659FD93))
         self.offsets = np.searchsorted(self.start, row_bytes)
 
     @property

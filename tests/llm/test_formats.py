@@ -88,15 +88,25 @@ def test_frames_of_other_writers(spark):
     for f in frames:
         index += struct.pack("<4sIII", b"00dc", 0x10, place, len(f))
         place += len(avi._chunk(b"00dc", f))
-    head = ours[12 : ours.index(b"LIST", ours.index(b"hdrl") + 200)].replace(b"ICMT", b"ICOP")
-    other = avi._chunk(b"RIFF", b"AVI " + head + avi._chunk(b"LIST", b"movi" + movi) + avi._chunk(b"idx1", index))
+    head = ours[12 : ours.index(avi.LENGTH_CHUNK)]
+    body = avi._chunk(b"LIST", b"movi" + movi) + avi._chunk(b"idx1", index)
+    other = avi._chunk(b"RIFF", b"AVI " + head + body)
+    comment = lambda x: avi._chunk(b"RIFF", b"AVI " + head + avi._chunk(b"LIST", b"INFO" + avi._chunk(b"ICMT", x)) + body)
+    at_size = frames[0].index(b"\xff\xc0") + 5
+    huge = ours.replace(avi.LENGTH_CHUNK, b"JUNK", 1)
+    at_huge = huge.index(b"\xff\xc0") + 5
+    huge = huge[:at_huge] + b"\xff\xff\xff\xff" + huge[at_huge + 4 :]
+    assert frames[0][at_size : at_size + 4] == struct.pack(">HH", 14, 20)
     assert at > 0
-    df = spark.createDataFrame([(1, other), (2, None), (3, ours[:200]), (4, ours), (5, b"")], "doc_id long, media binary")
+    df = spark.createDataFrame([(1, other), (2, None), (3, ours[:200]), (4, ours), (5, b""), (6, comment(b"hi")), (7, comment(b"123")), (8, huge)], "doc_id long, media binary")
     out = {r.doc_id: r for r in avi.read_media(df).collect()}
     assert out[1].n_frames == 11 and [c.n_frames for c in out[1].clips] == [6, 5] and out[1].payload_bytes is None and out[1].error is None
     assert out[2].media_bytes is None and out[2].error is None
     assert out[3].error and out[3].n_frames is None and out[5].error
     assert out[4].payload_bytes == 64 and out[4].error is None
+    for i in (6, 7):  # a comment, even a number, is no payload length
+        assert out[i].clips == out[1].clips and out[i].payload_bytes is None and out[i].error is None
+    assert "size" in out[8].error and out[8].n_frames is None  # 65535 x 65535 samples out of a few bytes
 
 
 def test_media_rows(edge_docs, no_docs):

@@ -45,6 +45,39 @@ def brute(rows, k, percent=80):
     return Counter(out)
 
 
+def test_mirrored_words_have_their_own_hashes(spark):
+    """Thue-Morse words, which agree modulo 2**64 under any odd base, are different words to every operator that hashes them."""
+    from anchorline.llm.substrings import remove_repeats
+    from anchorline.llm.words import Words
+
+    a = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    assert len(set(Words(data, np.array([0, len(data)]), lower=False).hashes.tolist())) == 2
+    docs = spark.createDataFrame([(1, " ".join([a] * 13)), (2, " ".join([b] * 13))], "doc_id long, text string")
+    assert [r.kept for r in near_duplicates(docs, k=2).collect()] == [True, True]
+    assert [r.n_removed for r in remove_repeats(docs, window=13).collect()] == [0, 0]
+    items = spark.createDataFrame([(9, " ".join([b] * 6))], "item_id long, text string")
+    assert {r.doc_id: len(r.matches) for r in mark_contamination(docs, items).collect()} == {1: 0, 2: 1}
+
+
+def test_words_hash_alike_wherever_they_stand():
+    """A word's hash depends on its bytes alone, also beyond the bytes whose sums need reducing."""
+    from anchorline.llm import words as module
+
+    text = ("zz " * 50 + "word \u00e9\u00e9 " + "x" * 300 + " ") * 40
+    data = np.frombuffer(text.encode(), np.uint8)
+    at = np.array([0, len(data)])
+    seen = {}
+    for limit in (1 << 24, 1):
+        old, module._UNREDUCED = module._UNREDUCED, limit
+        w = module.Words(data, at, lower=False)
+        module._UNREDUCED = old
+        for i, h in enumerate(w.hashes.tolist()):
+            assert seen.setdefault(w.text(i), h) == h
+    assert len(set(seen.values())) == len(seen) == 4
+
+
 def test_components_take_few_rounds(spark, monkeypatch):
     """A path with ascending ids takes rounds in the order of its logarithm."""
     from anchorline.llm import components as module
