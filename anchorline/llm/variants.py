@@ -26,17 +26,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.llm.common import ascii_lower, bound_batches, discard, stored
+from anchorline.llm.common import ascii_lower, bound_batches, discard, parts, stored
 
 #: The most grams of a dictionary, which goes to all tasks.
 MAX_GRAMS = 200_000
 #: Words that share a gram before it is extended; doubled until the dictionary keeps its bound.
-LEAST_FREQUENT = 64
+LEAST_FREQUENT = 1024
 
 
 def words_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least_length: int = 6, damage: int | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def count_words(words: DataFrame, *, least_n: int = 5) -> DataFrame:
     return stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_n))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Dictionary:
     """Grams with the number of words that hold them; ``before`` and ``after``: their proper beginnings and ends."""
 
@@ -71,6 +72,11 @@ class Dictionary:
     before: frozenset[str]
     after: frozenset[str]
 
+    @cached_property
+    def longest(self) -> int:
+        """The length of the longest gram."""
+        return max(map(len, self.before), default=self.shortest - 1) + 1
+
     @staticmethod
     def of(count: dict[str, int], shortest: int) -> Dictionary:
         longer = [g for g in count if len(g) > shortest]
@@ -96,10 +102,12 @@ class Dictionary:
 
     def bounds(self, word: str, grams: list[tuple[int, int]]) -> tuple[int, int]:
         """The most grams that one replaced or deleted code point affects, and one inserted."""
-        n, q = len(word), self.shortest
+        n, q, most = len(word), self.shortest, self.longest - 1
+        if most < q:
+            return min(q, len(grams)), min(q - 1, len(grams))
         # From which place on grams that end before i can be swallowed, and up to which end those that begin at i or later can.
-        left = [min((p for p in range(i - q, -1, -1) if word[p:i] in self.before), default=i) for i in range(n + 1)]
-        right = [max((e for e in range(i + q, n + 1) if word[i:e] in self.after), default=i) for i in range(n + 1)]
+        left = [next((p for p in range(max(0, i - most), i - q + 1) if word[p:i] in self.before), i) for i in range(n + 1)]
+        right = [next((e for e in range(min(n, i + most), i + q - 1, -1) if word[i:e] in self.after), i) for i in range(n + 1)]
 
         def affected(lo: int, hi: int) -> int:
             a, b = left[lo], right[hi]
@@ -167,18 +175,23 @@ def near_pairs(vocabulary: DataFrame, dictionary: Dictionary) -> DataFrame:
                 at, *places = (pa.array(c) for c in zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(2)), *(c.cast(t) for c, t in zip(places, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string()), strict=True))], ["word", "n", "index", "part", "length", "place", "gram"])
 
-    listed = vocabulary.select("word", "n").mapInArrow(run, "word string, n long, index int, part int, length int, place int, gram string")
+    dealt = vocabulary.select("word", "n").repartition(parts(spark), "word")
+    listed = dealt.mapInArrow(run, "word string, n long, index int, part int, length int, place int, gram string")
     # A list's name as one hash: a clash only costs a comparison.
-    named = stored(listed.select(F.xxhash64("index", F.col("part") == SAME, "length", "place", "gram").alias("list"), "part", "word", "n"))
-    right = named.select(F.col("list").alias("to"), F.col("part").alias("as"), F.col("word").alias("other"), F.col("n").alias("other_n"))
-    meet = (F.col("list") == F.col("to")) & (F.levenshtein("word", "other", 1) == 1)
+    half = F.floor((F.char_length("word") - (F.col("part") == LONGER).cast("int")) / 2).cast("int")
+    ends = [F.hash(F.left("word", half)).alias("head"), F.hash(F.right("word", half)).alias("tail")]
+    named = stored(listed.select(F.xxhash64("index", F.col("part") == SAME, "length", "place", "gram").alias("list"), "part", "word", "n", *ends))
+    right = named.select(F.col("list").alias("to"), F.col("part").alias("as"), F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("head").alias("other_head"), F.col("tail").alias("other_tail"))
+    # One edit leaves the first or the last half of the shorter word as it is, which is quickly seen.
+    whole = (F.col("head") == F.col("other_head")) | (F.col("tail") == F.col("other_tail"))
+    meet = (F.col("list") == F.col("to")) & whole & (F.levenshtein("word", "other", 1) == 1)
     same = named.where(F.col("part") == SAME).join(right.where(F.col("as") == SAME), meet & (F.col("word") < F.col("other")))
     unlike = named.where(F.col("part") == LONGER).join(right.where(F.col("as") == SHORTER), meet)
     once = same.unionByName(unlike).select("word", "n", "other", "other_n")
     return once.unionAll(once.select("other", "other_n", "word", "n"))
 
 
-def group_variants(vocabulary: DataFrame, *, shortest: int = 3, longest: int = 6, times: int = 5, max_grams: int = MAX_GRAMS, least_frequent: int = LEAST_FREQUENT) -> DataFrame:
+def group_variants(vocabulary: DataFrame, *, shortest: int = 3, longest: int = 5, times: int = 5, max_grams: int = MAX_GRAMS, least_frequent: int = LEAST_FREQUENT) -> DataFrame:
     """(word, n, n_near, form, form_n, root) for every word of a written table (word, n).
 
     Near words differ by one replaced, deleted or inserted code point. A word's form is its
