@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,3 +48,42 @@ def any_within(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: s
 def none_within(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str, tol: float) -> DataFrame:
     """Left rows without a right row within ``tol``."""
     return range_join(left, right.select(*keys, right_t), keys, left_t, right_t, tol, "left_anti")
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """What is sought near a left row's time: expressions over the structs ``l`` and ``r`` of the two rows."""
+
+    t: str
+    tol: float
+    fits: Column
+    order: Sequence[Column]
+    carry: Mapping[str, str]
+
+
+def nearest_lookups(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, right_t: str, lookups: Sequence[Lookup]) -> DataFrame:
+    """Every left row with what each lookup carries from the first right row in its order (else null), all in one join.
+
+    A left row stands in one bucket for each of the times it is sought at, so the least row is found where the join has
+    brought the rows together: times apart from the first cost one more shuffle of a row each.
+    """
+    tol = max(x.tol for x in lookups)
+    times = list(dict.fromkeys(x.t for x in lookups))
+    whole = left.select(F.struct(*left.columns).alias("l"))
+    probes = whole.select("l", F.posexplode(F.array(*[F.col(f"l.{t}").cast("double") for t in times])).alias("probe", "at"))
+    a = probes.select("l", "probe", "at", *[F.col(f"l.{k}").alias(f"k{i}") for i, k in enumerate(keys)], F.floor(F.col("at") / tol).alias("b"))
+    slot = F.floor(F.col(right_t) / tol)
+    b = right.select(F.struct(*right.columns).alias("r"), *[F.col(k).alias(f"rk{i}") for i, k in enumerate(keys)], F.explode(F.array(slot - 1, slot, slot + 1)).alias("rb"))
+    on = (F.col("b") == F.col("rb")) & (F.abs(F.col("at") - F.col(f"r.{right_t}")) <= tol)
+    for i in range(len(keys)):
+        on = on & (F.col(f"k{i}") == F.col(f"rk{i}"))
+    best = []
+    for n, x in enumerate(lookups):
+        fits = (F.col("probe") == times.index(x.t)) & (F.abs(F.col("at") - F.col(f"r.{right_t}")) <= x.tol) & x.fits
+        found = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(x.order)], *[F.col(f"r.{c}").alias(f"c_{name}") for name, c in x.carry.items()])
+        best.append(F.min(F.when(fits, found)).alias(f"best{n}"))
+    groups = [*[f"k{i}" for i in range(len(keys))], "b", "probe"]
+    out = a.join(b, on, "left").groupBy(*groups, F.col(f"l.{left_id}").alias("id")).agg(F.any_value("l").alias("l"), *best)
+    if len(times) > 1:
+        out = out.groupBy("id").agg(F.any_value("l").alias("l"), *[F.any_value(f"best{n}", True).alias(f"best{n}") for n in range(len(lookups))])
+    return out.select("l.*", *[F.col(f"best{n}.c_{name}").alias(name) for n, x in enumerate(lookups) for name in x.carry])

@@ -193,10 +193,12 @@ SELECT user_id, left(string_agg(event_id || ': ERROR: k=' || json_extract_string
 """)
 def q_error_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.concat(F.col("event_id").cast("string"), F.lit(": ERROR: k="), F.get_json_object("props", "$.k"))
-    # A message has ten characters at least, so the first fifty fill the text: no more are gathered.
-    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    x = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", F.struct("event_id", said.alias("m")).alias("x"), nth.alias("nth")).where("nth <= 50")
-    return x.groupBy("user_id").agg(F.left(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda e: e["m"]), "; "), F.lit(500)).alias("errors"))
+    # A message has ten characters at least, so the first fifty fill the text: no more are gathered. Those without one don't count.
+    has = F.col("x.m").isNotNull()
+    x = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", F.struct("event_id", said.alias("m")).alias("x"))
+    nth = F.row_number().over(Window.partitionBy("user_id", has).orderBy("x.event_id"))
+    first = x.withColumn("nth", nth).groupBy("user_id").agg(F.sort_array(F.collect_list(F.when(has & (F.col("nth") <= 50), F.col("x")))).alias("x"))
+    return first.select("user_id", F.when(F.size("x") > 0, F.left(F.array_join(F.transform("x", lambda e: e["m"]), "; "), F.lit(500))).alias("errors"))
 
 
 @query("""

@@ -464,10 +464,8 @@ sn AS MATERIALIZED (SELECT *, greatest(0, least(s, {_D} - 50)) AS new_start, gre
 
 def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c, a = _proposed(spark, sf_dir)
-    # Each step reads the one before several times: persisted, and computed again where an executor is lost.
-    heard = verify.audibility(c, a, 150_000).persist()
-    split = verify.split_impacts(heard, a, 150_000, 1_500_000, 50_000, 150_000).persist()
-    return verify.merge_near(split, ["row", "part"], 100_000, 0.6).persist(), a
+    split = verify.split_impacts(verify.audibility(c, a, 150_000), a, 150_000, 1_500_000, 50_000, 150_000)
+    return verify.merge_near(split, ["row", "part"], 100_000, 0.6), a
 
 
 @query(f"WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT}, {_MERGED} SELECT clip, number, row, merged_into FROM me")
@@ -476,16 +474,17 @@ def q_merge_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir)[0].select("clip", "number", "row", "merged_into")
 
 
-def _snapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cues snapped, merged ones too: they are told by ``merged_into``."""
     every, a = _merged(spark, sf_dir)
-    kept = every.where("merged_into IS NULL").drop("merged_into").withColumnRenamed("row", "source_row").withColumn("row", F.concat_ws("/", "clip", F.col("number").cast("string")))
-    return verify.snap(kept.drop("anchor"), a, _D, 250_000, 600_000, 50), every
+    named = every.withColumnRenamed("row", "source_row").withColumn("row", F.concat_ws("/", "clip", F.col("number").cast("string")))
+    return verify.snap(named.drop("anchor"), a, _D, 250_000, 600_000, 50)
 
 
 @query(f"WITH RECURSIVE {_PROPOSED}, {_AUDIBLE}, {_SPLIT}, {_MERGED}, {_SNAPPED} SELECT clip, number, audio_type, to_anchor AS anchor, CAST(new_start AS BIGINT) AS start_ms, CAST(new_end AS BIGINT) AS end_ms, CAST(new_start - start_ms AS BIGINT) AS delta_ms FROM sn")
 def q_snap_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Effects, speech and beds snapped to the anchors of their type, with ends and bounds."""
-    out, _ = _snapped(spark, sf_dir)
+    out = _snapped(spark, sf_dir).where("merged_into IS NULL")
     return out.select("clip", "number", "audio_type", F.col("to").alias("anchor"), F.col("new_start").alias("start_ms"), F.col("new_end").alias("end_ms"), F.col("delta").alias("delta_ms"))
 
 
@@ -502,16 +501,15 @@ UNION ALL SELECT clip, number, cue_id, audio_type, audio_type, start_ms, duratio
 """)
 def q_verify_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audibility, splitting, merging, snapping, soft rejection, verdicts, bounds and ids: every cue comes out kept or in a rejected stream."""
-    snapped, every = _snapped(spark, sf_dir)
+    snapped = _snapped(spark, sf_dir)
     said = F.when(F.col("k") % 9 == 0, "drop").when(F.col("k") % 7 == 0, "relabel").otherwise("keep")
     verdicts = cues(spark, sf_dir).where("user_id % 2 = 0").select("clip", F.col("seq").alias("at"), F.concat(F.lit("cue_"), (F.col("user_id") % 50).cast("string")).alias("cue_id"), said.alias("verdict"), F.when(F.col("k") % 2 == 0, F.col("audio_type")).otherwise(" ").alias("label"))
     judged = verify.with_verdicts(snapped, verdicts)
     unheard = (F.col("audibility") == "not_audible") & (F.col("source") != "asr") & F.col("audio_type").isin(*verify.JUDGED)
-    start = clamp(F.col("new_start"), 0, _D - 1)
-    length = F.least(F.greatest(F.lit(50), F.col("new_end") - F.col("new_start")), F.greatest(_D - start, F.lit(50)))
-    stream = F.when(unheard, "not_audible").when(F.col("verdict") == "drop", "judge").otherwise("kept")
-    final = judged.select("clip", "number", "cue_id", "audio_type", F.coalesce("new_label", "audio_type").alias("label"), start.cast("long").alias("start_ms"), length.cast("long").alias("duration_ms"), stream.alias("stream"))
-    kept = verify.unique_ids(final.where("stream = 'kept'"), ["number"], "start_ms")
-    gone = final.where("stream != 'kept'").withColumn("label", F.col("audio_type"))
-    merged = every.where("merged_into IS NOT NULL").select("clip", "number", "cue_id", "audio_type", F.col("audio_type").alias("label"), F.col("start_ms").cast("long").alias("start_ms"), F.col("duration_ms").cast("long").alias("duration_ms"), F.lit("merged").alias("stream"))
-    return kept.unionByName(gone).unionByName(merged)
+    merged = F.col("merged_into").isNotNull()
+    start = F.when(merged, F.col("start_ms")).otherwise(clamp(F.col("new_start"), 0, _D - 1))
+    length = F.when(merged, F.col("duration_ms")).otherwise(F.least(F.greatest(F.lit(50), F.col("new_end") - F.col("new_start")), F.greatest(_D - start, F.lit(50))))
+    stream = F.when(merged, "merged").when(unheard, "not_audible").when(F.col("verdict") == "drop", "judge").otherwise("kept")
+    label = F.when(stream == "kept", F.coalesce("new_label", "audio_type")).otherwise(F.col("audio_type"))
+    final = judged.select("clip", "number", "cue_id", "audio_type", label.alias("label"), start.cast("long").alias("start_ms"), length.cast("long").alias("duration_ms"), stream.alias("stream"))
+    return verify.unique_ids(final, ["number"], "start_ms", F.col("stream") == "kept")
