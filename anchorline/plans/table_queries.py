@@ -345,16 +345,6 @@ def q_json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.select("event_id", F.get_json_object("j", "$.k").try_cast("int").alias("k"), F.col("j").isNotNull().alias("ok"))
 
 
-@query(f"""
-WITH {TL} SELECT 'cue_' || lpad(CAST(row_number() OVER (PARTITION BY clip ORDER BY t_ms, seq) AS VARCHAR), 3, '0') AS cue_id, clip, seq, t_ms AS start_time_ms, greatest(50, 10 * k) AS duration_ms, t_ms + greatest(50, 10 * k) AS end_time_ms FROM ev WHERE event_type = 'purchase' AND k IS NOT NULL
-""")
-def q_parse_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = cues(spark, sf_dir).where("k IS NOT NULL")
-    n = F.row_number().over(Window.partitionBy("clip").orderBy("start_ms", "seq"))
-    length = F.greatest(F.lit(50), 10 * F.col("k"))
-    return c.select(F.format_string("cue_%03d", n).alias("cue_id"), "clip", "seq", F.col("start_ms").alias("start_time_ms"), length.alias("duration_ms"), (F.col("start_ms") + length).alias("end_time_ms"))
-
-
 @query("""
 WITH l AS (SELECT l_orderkey, count(*) AS n, sum(l_extendedprice) AS total, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_orderkey)
 SELECT o_orderkey, concat_ws('+', CASE WHEN l.n IS NULL THEN 'no_lines' END, CASE WHEN o_totalprice <= 0 THEN 'price' END, CASE WHEN l.first_ship < o_orderdate THEN 'order_after_ship' END) AS problems
