@@ -31,6 +31,75 @@ def test_onsets_find_known_times(kind, snr, limit):
     assert max(errors) < 80 and np.median(errors) <= limit
 
 
+def clicks(times):
+    y = np.zeros(int(SR * (max(times) + 0.5)))
+    ring = 0.9 * np.exp(-np.linspace(0, 8, int(0.008 * SR)))
+    for t in times:
+        y[round(t * SR) :][: len(ring)] += ring
+    return y
+
+
+def bursts(times):
+    y, n, rng = np.zeros(int(SR * (max(times) + 0.54))), int(0.04 * SR), np.random.default_rng(0)
+    for t in times:
+        y[round(t * SR) :][:n] += 0.5 * rng.standard_normal(n) * np.hanning(n)
+    return y
+
+
+def gates(spans):
+    y = np.zeros(int(SR * (max(b for _, b in spans) + 0.5)))
+    tone = 0.4 * np.sin(2 * np.pi * 1000 * np.arange(len(y)) / SR)
+    for a, b in spans:
+        y[int(a * SR) : int(b * SR)] = tone[int(a * SR) : int(b * SR)]
+    return y
+
+
+def impacts(times):
+    y, t = np.zeros(int(SR * (max(times) + 1.0))), np.arange(int(0.2 * SR)) / SR
+    hit = 0.8 * np.exp(-18 * t) * np.sin(2 * np.pi * 120 * t) + 0.28 * np.exp(-80 * t) * np.sin(2 * np.pi * 2500 * t)
+    for s in times:
+        y[round(s * SR) :][: len(hit)] += hit
+    return y
+
+
+CLICKS, BURSTS, GATES, IMPACTS = [0.5, 1.0, 1.35, 2.0, 2.8], [0.4, 0.9, 1.5, 2.2], [(0.6, 1.0), (1.8, 2.3), (3.0, 3.5)], [0.7, 1.4, 2.5]
+
+
+@pytest.mark.parametrize(
+    ("make", "args", "snr", "limit"),
+    [(clicks, CLICKS, None, 10), (clicks, CLICKS, 10, 25), (bursts, BURSTS, None, 20), (bursts, BURSTS, 10, 30), (gates, GATES, None, 20), (impacts, IMPACTS, None, 10), (impacts, IMPACTS, 10, 25)],
+)
+def test_synthetic_cases(make, args, snr, limit):
+    """The seven known signals: all but one onset matched within 80 ms, one to one, median error within the case's limit."""
+    from anchorline.operators.assign import solve
+
+    y = make(args)
+    if snr is not None:
+        power = (y**2).mean() / 10 ** (snr / 10)
+        y = y + np.random.default_rng(42).standard_normal(len(y)) * np.sqrt(power)
+    truth = np.array([1000 * (t[0] if isinstance(t, tuple) else t) for t in args])
+    got = np.array([o["t_ms_f"] for o in signal.onsets(y, SR)])
+    away = np.abs(truth[:, None] - got[None, :])
+    pair = solve(np.where(away <= 80, away, 1e6))
+    errors = [away[i, j] for i, j in enumerate(pair) if away[i, j] <= 80]
+    assert len(errors) >= len(truth) - 1 and np.median(errors) <= limit
+
+
+def test_refinement_rules():
+    """The rise's line meets the floor at the start; far starts are given up; short pieces keep their coarse time."""
+    ramp = np.concatenate([np.full(1000, -60.0), np.linspace(-60, 0, 601), np.full(400, -5.0)])
+    assert abs(signal.rise_start(ramp, 1600, -60.0, 400, 6.0) - 1000) < 1
+    assert signal.rise_start(np.full(50, -60.0), 10, -60.0, 4, 6.0) >= 4
+    y = clicks([0.5])
+    near = signal.refine(y, SR, 505.0)
+    assert abs(near["t_ms_f"] - 500) < 6 and not near["low_confidence"] and near["rise_time_ms"] >= 0
+    assert signal.refine(y, SR, 560.0)["t_ms_f"] == 560.0
+    assert signal.refine(y[:200], SR, 1.0)["low_confidence"]
+    end, sure = signal.offset(y, SR, near, 1500)
+    assert 500 < end < 530 and sure
+    assert not signal.offset(y, SR, near, 1500, next_ms=near["t_ms_f"] + 4)[1]
+
+
 def test_onset_rows(spark):
     rows = [("a", [float(v) for v in clip([500], seconds=1.0)]), ("b", None), ("c", [])]
     out = signal.detect_onsets(spark.createDataFrame(rows, "clip string, samples array<float>")).collect()
