@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anchorline.operators import answers, constraints
+from anchorline.functions.tree import Caps, sanitised_json
+from anchorline.operators import answers, constraints, steps
 from anchorline.plans.registry import query
 from anchorline.plans.views import TL, cues, table
 
@@ -138,3 +139,42 @@ def q_validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (p == 16).alias("human_verified"), (F.coalesce("lines", F.lit(0)) + F.when(p == 77, 1).otherwise(0)).alias("token_rows"),
     )
     return constraints.violations(records, ["id"], constraints.record_checks(), {"cues": c, "artifact_cues": artifact, "times": times, "index": index})
+
+
+_LOG = """e AS (SELECT user_id % 40 AS session, event_id AS seq, CASE WHEN user_id % 9 = 0 THEN '' ELSE 's' || (user_id // 40) END AS step_id, CASE event_type WHEN 'signup' THEN 'step_begin' WHEN 'purchase' THEN 'step_end' WHEN 'error' THEN 'session_start' ELSE event_type END AS kind,
+CASE WHEN event_id % 3 <> 0 THEN 't' || event_id END AS title, CASE WHEN event_id % 2 = 0 THEN value END AS elapsed_s FROM events)"""
+
+
+@query(f"""
+WITH {_LOG}, r AS (SELECT *, min(seq) FILTER (WHERE kind = 'step_begin') OVER (PARTITION BY session, step_id) AS b FROM e WHERE step_id <> '' AND kind <> 'session_start'),
+s AS (SELECT session, step_id, b, max(CASE WHEN seq = b THEN coalesce(title, step_id) END) AS title, count(*) FILTER (WHERE seq >= b) AS n_events, coalesce(max(seq >= b AND kind = 'step_end'), false) AS ended,
+arg_max(elapsed_s, seq) FILTER (WHERE seq >= b AND kind = 'step_end' AND elapsed_s IS NOT NULL) AS elapsed_s, count(*) FILTER (WHERE seq < b) AS loose FROM r WHERE b IS NOT NULL GROUP BY ALL)
+SELECT session, CAST(row_number() OVER (PARTITION BY session ORDER BY b, step_id) - 1 AS INTEGER) AS step_no, step_id, title, b AS begin_seq, n_events, ended, elapsed_s, loose FROM s
+""")
+def q_step_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of forty sessions: sign-ups begin them, purchases end them, errors start sessions; some stay open."""
+    return steps.rollup_steps(_log(spark, sf_dir))
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "signup", steps.BEGIN).when(F.col("event_type") == "purchase", steps.END).when(F.col("event_type") == "error", steps.START).otherwise(F.col("event_type"))
+    step = F.when(F.col("user_id") % 9 == 0, "").otherwise(F.concat(F.lit("s"), F.floor(F.col("user_id") / 40).cast("string")))
+    return table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("session"), F.col("event_id").alias("seq"), step.alias("step_id"), kind.alias("kind"), F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("t"), F.col("event_id").cast("string"))).alias("title"), F.when(F.col("event_id") % 2 == 0, F.col("value")).alias("elapsed_s"))
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, count(*) AS n, list('{"n":' || l_linenumber || ',"how":"' || l_returnflag || '","part":{"key":"…"}}' ORDER BY l_linenumber, l_returnflag, l_partkey) AS items FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, '{"key":' || o_orderkey || ',"note":"' || CASE WHEN length(o_orderpriority) > 6 THEN left(o_orderpriority, 6) || '\\n… (' || (length(o_orderpriority) - 6) || ' more chars)' ELSE o_orderpriority END || '","lines":[' || coalesce(array_to_string(items[1:6], ','), '') || CASE WHEN n > 6 THEN ',"… (' || (n - 6) || ' more items)"' ELSE '' END
+|| '],"by":{"status":"' || o_orderstatus || '"},"raw":{"_type":"bytes","size":' || length(o_orderpriority) || ',"note":"binary omitted from log"},"none":null}' AS logged FROM orders LEFT JOIN l ON l_orderkey = o_orderkey
+""")
+def q_sanitise_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as bounded JSON: six characters of a text, six items of a list, three levels."""
+    part = F.struct(F.col("l_partkey").alias("key")).alias("part")
+    l = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_returnflag").alias("how"), part))).alias("lines"))
+    o = table(spark, sf_dir, "orders").join(l, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    tree = F.struct(
+        F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("note"), F.coalesce("lines", F.array().cast(l.schema["lines"].dataType)).alias("lines"),
+        F.create_map(F.lit("status"), F.col("o_orderstatus")).alias("by"), F.col("o_orderpriority").cast("binary").alias("raw"), F.lit(None).cast("string").alias("none"),
+    )
+    kind = o.select(tree.alias("t")).schema["t"].dataType
+    return o.select("o_orderkey", sanitised_json(tree, kind, Caps(text=6, items=6, depth=3)).alias("logged"))
