@@ -16,6 +16,23 @@ ONSETS, OFFSETS = ("onset_ms", "t_ms_f", "t_ms", "start_time_ms"), ("offset_ms",
 WITHIN, ERROR_COLLAR, COLLAR = (20, 50, 100, 200), 200, 50
 
 
+#: Kinds of anchors that are heard.
+AUDIO_KINDS = ("audio_onset", "sed_event", "speech_start", "music_boundary")
+
+
+def predictions(anchors: DataFrame, audio_only: bool = True) -> DataFrame:
+    """(clip, id, label, onset_ms, offset_ms, stem, score) of anchors: their exact times where they have them, else the rounded ones."""
+    heard = anchors.where(F.col("kind").isin(*AUDIO_KINDS)) if audio_only else anchors
+    own = lambda c: F.col(c) if c in anchors.columns else F.lit(None)
+    return heard.select("clip", "id", F.col("kind").alias("label"), _first_of(anchors, ("t_ms_f", "t_ms")).alias("onset_ms"), _first_of(anchors, ("t_end_ms_f", "end_ms")).alias("offset_ms"), own("stem").cast("string").alias("stem"), own("score").cast("double").alias("score"))
+
+
+def event_label(kind: Column, stem: Column, direction: Column, delta: Column, bands: Column) -> Column:
+    """What an event is, in one text: its kind, and with bars between, what else is known of it."""
+    text = lambda c: F.nullif(c.cast("string"), F.lit(""))
+    return F.concat_ws("|", kind, text(stem), text(direction), F.concat(F.lit("d"), delta.cast("string")), text(F.array_join(bands, "+")))
+
+
 def _first_of(df: DataFrame, names: Sequence[str]) -> Column:
     there = [F.col(c).cast("double") for c in names if c in df.columns]
     return F.coalesce(*there, F.lit(None).cast("double"))
