@@ -173,6 +173,62 @@ def test_groups_agree(spark):
     assert all(abs(same[k].score - whole[k].score) < 1e-5 for k in whole)
 
 
+def test_sizes_of_groups_and_places_change_no_score(spark):
+    """The same scores in one group and in many, with words and pairs in one place and dealt over many."""
+    rows = [(i, sentence(i % 90, 80) + " of the" * (i % 7)) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    run = lambda **o: {r.doc_id: r for r in pitman_yor.score(df, train=F.col("doc_id") % 7 != 2, **o).collect()}
+    whole = run()
+    for o in ({"group_bytes": 3000}, {"group_bytes": 7000, "limit": 40}, {"limit": 200}, {"group_bytes": 5000, "limit": 100, "chunk_bytes": 2000}):
+        other = run(**o)
+        assert other.keys() == whole.keys()
+        assert max(abs(other[k].score - whole[k].score) for k in whole) < 1e-4, o
+        assert all(abs(other[k].base_score - whole[k].base_score) < 1e-4 and other[k].n_known == whole[k].n_known for k in whole), o
+
+
+def test_a_desk_seats_what_one_place_would():
+    """Dishes put together from reports have the counts and probabilities of the whole restaurant, pairs dealt by row included."""
+    rng = np.random.default_rng(2)
+    last, before, word = np.full(3000, 7, np.uint64), *(mix(rng.integers(0, k, 3000).astype(np.uint64)) for k in (4, 30))
+    setup = pitman_yor.Setup(np.array([1], np.uint64), np.array([7], np.uint64), np.array([3]), np.array([9]), 1, 3000, 30, 1, 1, 2)
+    whole = pitman_yor.Dishes(last, before, word, np.ones(3000, bool))
+    c1 = np.bincount(whole.up, whole.c2 > 0, len(whole.keys1)).astype(int)
+    one = pitman_yor.settle(whole.keys1, c1, whole.room1.of, 1, np.full(len(c1), 1 / 31), setup.draws(1), setup.burn, setup.keep)
+    two = pitman_yor.settle(whole.keys2, whole.c2, whole.room2.of, 2, one[whole.up], setup.draws(2), setup.burn, setup.keep)
+    parts = [pitman_yor.Dishes(x[0], x[1], x[2], np.ones(1000, bool)) for x in (tuple(a[i::3] for a in (last, before, word)) for i in range(3))]
+    bodies = []
+    for d in parts:
+        w = d.words.keys[d.words.of]
+        bodies.append(pitman_yor.squeeze(w, np.zeros(len(w), np.int32), d.before2, w[d.up], d.c2))
+    desk = pitman_yor.Desk(np.uint64(7), bodies)
+    assert desk.c1.sum() == c1.sum() and desk.c2.sum() == 3000
+    for d, (p1, p2) in zip(parts, desk.seated(np.full(len(desk.words), 1 / 31), setup), strict=True):
+        assert np.allclose(p1, one[np.searchsorted(whole.keys1, d.keys1)], rtol=1e-12)
+        assert np.allclose(p2, two[np.searchsorted(whole.keys2, d.keys2)], rtol=1e-12)
+
+
+def test_settle_against_every_seating():
+    """Mean predictive probabilities under a given parent are those over all seatings, and those of a restaurant sum to one."""
+    c, parent = np.array([4, 1, 2, 3, 0]), np.array([0.3, 0.25, 0.2, 0.15, 0.1])
+    d, s = pitman_yor.DISCOUNT[2], pitman_yor.STRENGTH[2]
+    stirling = np.exp(pitman_yor.log_stirling(d, 8))
+    want, weight = np.zeros(5), 0.0
+    for t in itertools.product(*(range(1, n + 1) if n else (0,) for n in c)):
+        p = math.exp(_log_rising(s, sum(t), d)) * math.prod(stirling[n, x] * q**x for n, x, q in zip(c, t, parent, strict=True))
+        want, weight = want + p * (c - d * np.array(t) + (s + d * sum(t)) * parent) / (s + c.sum()), weight + p
+    got = pitman_yor.settle(mix(np.arange(5, dtype=np.uint64) + np.uint64(3)), c, np.zeros(5, int), 2, parent, np.random.default_rng(0), 50, 6000)
+    assert np.abs(np.log(got / (want / weight))).max() < 0.03
+    assert abs(got.sum() - 1) < 1e-9
+
+
+def test_binomial():
+    keys = mix(np.arange(40_000, dtype=np.uint64))
+    for n, p in ((1, 0.3), (9, 0.9), (60, 0.5), (500, 0.02), (500, 0.4), (70, 1.0), (3000, 0.97)):
+        k = pitman_yor.binomial(np.full(len(keys), n), np.full(len(keys), p), keys, pitman_yor.salts(np.random.default_rng(n), 2))
+        sd = math.sqrt(n * p * (1 - p))
+        assert k.min() >= 0 and k.max() <= n and abs(k.mean() - n * p) <= sd / 40 and abs(k.std() - sd) <= sd / 40
+
+
 def test_documents_that_occur_twice_stand_apart(spark):
     rows = [(i, sentence(i, 120)) for i in range(150)]
     rows += [(1000 + i, rows[i][1]) for i in range(0, 150, 10)]
