@@ -186,6 +186,13 @@ def test_sizes_of_groups_and_places_change_no_score(spark):
         assert all(abs(other[k].base_score - whole[k].base_score) < 1e-4 and other[k].n_known == whole[k].n_known for k in whole), o
 
 
+def test_places(spark):
+    assert pitman_yor.places(np.array([0, 5, 100, 101, 950]), 100).tolist() == [1, 1, 1, 2, 10]
+    df = spark.createDataFrame([(i, sentence(i, 50)) for i in range(40)], "doc_id long, text string")
+    plans = [pitman_yor.score(df, train=F.lit(True), limit=n)._jdf.queryExecution().analyzed().toString() for n in (1 << 20, 30)]
+    assert [p.count("reply(") > 0 for p in plans] == [False, True]
+
+
 def test_a_desk_seats_what_one_place_would():
     """Dishes put together from reports have the counts and probabilities of the whole restaurant, pairs dealt by row included."""
     rng = np.random.default_rng(2)
