@@ -1,13 +1,16 @@
+import cProfile
 import itertools
 import math
+import pstats
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from anchorline.llm import pitman_yor, toxicity
-from anchorline.llm.words import mix
+from anchorline.llm.words import mix, pieces
 from tests.llm.conftest import sentence
 from tests.llm.test_near import LOWER, WORD
 
@@ -236,6 +239,70 @@ def test_binomial():
         assert k.min() >= 0 and k.max() <= n and abs(k.mean() - n * p) <= sd / 40 and abs(k.std() - sd) <= sd / 40
 
 
+def _level(n: int, rooms: int):
+    """(keys, customers, restaurants, parents' probabilities) of n dishes, most of them small, some of over 256 customers."""
+    rng = np.random.default_rng(4)
+    c = np.minimum(rng.zipf(1.6, n) - (rng.random(n) < 0.1), 5000)
+    return mix(np.arange(n, dtype=np.uint64)), c, rng.integers(0, rooms, n), rng.random(n) ** 4 + 1e-9
+
+
+def test_settle_draws_as_dish_by_dish_formulas_do():
+    """Dishes drawn in lots of like sizes get what ``reseat`` draws for one number of customers at a time."""
+    (keys, c, room, parent), level, burn, keep = _level(3000, 40), 2, 2, 3
+    d, strength, rng = pitman_yor.DISCOUNT[level], pitman_yor.STRENGTH[level], np.random.default_rng(5)
+    t, total = (c > 0).astype(np.int64), np.zeros(len(c))
+    totals, customers = (np.bincount(room, x, 40).astype(np.int64) for x in (t, c))
+    many = np.flatnonzero(c > 1)
+    for i in range(burn + keep):
+        for half in (0, 1):
+            sel = many[(keys[many] & np.uint64(1)) == half]
+            pitman_yor.reseat(sel, c, t, room, totals, d, strength, lambda x, n: np.log(parent[x])[:, None] * np.arange(1, n + 1), lambda x: parent[x], rng, keys)
+        if i >= burn:
+            total += c - d * t + (strength + d * totals[room]) * parent
+    assert (c > pitman_yor.EXACT).any() and (c == 0).any() and len(np.unique(c)) > 50
+    got = pitman_yor.settle(keys, c, room, level, parent, np.random.default_rng(5), burn, keep)
+    assert np.allclose(got, total / keep / (strength + customers[room]), rtol=1e-11)
+    none = np.zeros(0, np.int64)
+    assert len(pitman_yor.settle(keys[:0], none, none, level, parent[:0], rng, burn, keep)) == 0
+
+
+def _calls(run) -> int:
+    """Function calls made, a measure of work that no other load on the machine changes."""
+    profile = cProfile.Profile()
+    profile.runcall(run)
+    return pstats.Stats(profile).total_calls
+
+
+def test_seating_takes_few_calls():
+    """Dishes of like sizes and all tries of a step are drawn together: 50,450 calls, where one size and one try at a time took 174,699."""
+    keys, c, room, parent = _level(20_000, 300)
+    pitman_yor.log_stirling(pitman_yor.DISCOUNT[2])
+    assert _calls(lambda: pitman_yor.settle(keys, c, room, 2, parent, np.random.default_rng(1), 2, 2)) < 100_000
+
+
+def test_dealing_takes_few_calls():
+    """Blocks are slices of arrays laid out once: 102 calls for each, where gathering each alone took 143."""
+    rng = np.random.default_rng(6)
+    text = " ".join(f"w{x}" for x in rng.zipf(1.3, 20_000))
+    words = next(pieces(pa.RecordBatch.from_arrays([pa.array([text, None, "a b", "", text])], ["text"]), "text", lower=True))[1]
+    book, groups = np.unique(words.hashes)[::2], 200
+    setup = pitman_yor.Setup(np.append(book, [pitman_yor.START, pitman_yor.END]), np.array([pitman_yor.START]), np.array([1]), np.array([5]), groups, 40_000, 9, 5, 1, 1)
+    learn = np.array([True, False, True, True, False])
+    made = list(pitman_yor.Group.blocks(words, 10, learn, setup))
+    assert _calls(lambda: list(pitman_yor.Group.blocks(words, 10, learn, setup))) < 120 * len(made)
+    # What the blocks hold is every token once, in its text's order, and every text's first token.
+    token, one, two, row = pitman_yor.tokens(words)
+    assert (setup.codes(token) == [{w: i for i, w in enumerate(setup.book.tolist())}.get(w, 0xFFFF) for w in token.tolist()]).all()
+    want = Counter(zip((10 + row).tolist(), learn[row].tolist(), two.tolist(), one.tolist(), token.tolist(), strict=True))
+    got, firsts = Counter(), []
+    for g, body, first in made:
+        group = pitman_yor.Group(pa.table({"base": [10], "body": pa.array([body], pa.binary())}), setup)
+        assert (setup.rooms(group.before, group.last, group.row) % np.uint64(groups) == g).all() and (np.diff(group.row) >= 0).all()
+        got.update(zip(*(x.tolist() for x in (group.row, group.learn, group.before, group.last, group.word)), strict=True))
+        firsts.extend(first.tolist())
+    assert got == want and sorted(firsts) == [0, 1, 2, 3, 4]
+
+
 def test_documents_that_occur_twice_stand_apart(spark):
     rows = [(i, sentence(i, 120)) for i in range(150)]
     rows += [(1000 + i, rows[i][1]) for i in range(0, 150, 10)]
