@@ -98,9 +98,8 @@ def attach_visual(audio: DataFrame, visual: DataFrame, tol: float) -> DataFrame:
     Each visual row goes to the nearest audio anchor within ``tol``, the earlier of two; of several of a kind the last
     counts. Of rows left alone plain motion goes, and all but changes of intensity are marked as uncertain.
     """
-    near = Lookup("t_ms", tol, F.lit(True), [F.abs(F.col("r.a_t") - F.col("l.t_ms")), F.col("r.a_t"), F.col("r.a")], {"a": "a", "a_t": "a_t"})
     right = audio.select("clip", F.col("seq").alias("a"), F.col("t_ms").alias("a_t"))
-    found = nearest_lookups(visual, right, ["clip"], "seq", "a_t", [near])
+    found = nearest_lookups(visual, right, ["clip"], "a_t", ["a_t", "a"], [Lookup("t_ms", tol, {"a": "a", "a_t": "a_t"})])
     dt = half_even(F.col("a_t") - F.col("t_ms"))
     of = lambda *kinds: F.col("kind").isin(*kinds)
     last = lambda value, *kinds: F.max_by(F.when(of(*kinds), value), F.when(of(*kinds), F.col("seq")))
@@ -149,13 +148,12 @@ def fuse(audio: Sequence[DataFrame], visual: DataFrame, reach: Reach) -> DataFra
     """Numbered anchors (``id`` a000, a001, ... by time) of all audio streams and a visual one."""
     both = attach_visual(cluster(unite(audio), reach.cluster), visual, reach.visual)
     t = half_even(F.col("t_ms"))
-    scored = both.withColumns({"t": t, "score": F.when(~F.col("visual_only"), score_of()), "sources": F.when(~F.col("visual_only"), F.coalesce("sources", default_sources())), "row": F.concat_ws("/", F.col("visual_only").cast("int").cast("string"), F.col("seq").cast("string"), "clip")})
+    scored = both.withColumns({"t": t, "score": F.when(~F.col("visual_only"), score_of()), "sources": F.when(~F.col("visual_only"), F.coalesce("sources", default_sources()))})
     times = visual.select("clip", F.col("kind").alias("v_kind"), half_even(F.col("t_ms").cast("double")).alias("v_t"), F.col("seq").alias("v_seq"))
-    first = [F.abs(F.col("r.v_t") - F.col("l.t")), F.col("r.v_seq")]
-    lookups = [Lookup("t", reach.near, F.col("r.v_kind") == "cut", first, {"near_cut_ms": "v_t"}), Lookup("t", reach.near, F.col("r.v_kind").isin(*MOTION), first, {"near_motion_peak_ms": "v_t"})]
-    near = nearest_lookups(scored, times, ["clip"], "row", "v_t", lookups)
+    lookups = [Lookup("t", reach.near, {"near_cut_ms": "v_t"}, among=F.col("v_kind") == "cut"), Lookup("t", reach.near, {"near_motion_peak_ms": "v_t"}, among=F.col("v_kind").isin(*MOTION))]
+    near = nearest_lookups(scored, times, ["clip"], "v_t", ["v_seq"], lookups)
     n = F.row_number().over(Window.partitionBy("clip").orderBy("t_ms", "visual_only", "seq")) - 1
-    return near.withColumn("id", F.format_string("a%03d", n)).drop("row", "t")
+    return near.withColumn("id", F.format_string("a%03d", n)).drop("t")
 
 
 ESTIMATE = "clip string, available boolean, offset_ms double, confidence double, max_corr double"

@@ -32,7 +32,7 @@ def q_delta_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = timeline(spark, sf_dir).where("kind = 'audio_onset'").select("clip", "t_ms", F.col("seq").alias("a"))
     c = cues(spark, sf_dir).select("clip", "cue_id", "audio_type", "start_ms")
     d = F.abs(F.col("t_ms") - F.col("start_ms"))
-    m = nearest_within(c, a, ["clip"], "cue_id", "start_ms", "t_ms", 250_000, [d, "a"], ["t_ms"]).select("audio_type", d.alias("d"))
+    m = nearest_within(c, a, ["clip"], "start_ms", "t_ms", 250_000, ["a"], ["t_ms"]).select("audio_type", d.alias("d"))
     return m.groupBy("audio_type").agg(F.count(F.lit(1)).alias("n"), F.count("d").alias("n_delta"), F.round(F.avg("d"), 1).alias("mean_delta"), F.max("d").alias("max_delta"))
 
 
@@ -47,7 +47,7 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     tl = timeline(spark, sf_dir)
     p = tl.where("kind = 'audio_onset'").select("clip", "seq", F.col("t_ms").alias("pt"), F.col("k").alias("pk"))
     g = tl.where("kind = 'sed_event'").select("clip", F.col("seq").alias("g"), F.col("t_ms").alias("gt"), F.col("k").alias("gk"))
-    m = nearest_within(p, g, ["clip"], "seq", "pt", "gt", 200_000, [F.abs(F.col("gt") - F.col("pt")), "g"], ["g", "gt", "gk"]).where("g IS NOT NULL")
+    m = nearest_within(p, g, ["clip"], "pt", "gt", 200_000, ["g"], ["g", "gt", "gk"]).where("g IS NOT NULL")
     return m.select("clip", "seq", "g", (F.abs(F.col("gt") - F.col("pt")) / 1000.0).alias("err"), ((F.col("gt") + 1000 * F.col("gk")) - (F.col("pt") + 1000 * F.col("pk"))).alias("off"))
 
 
