@@ -10,7 +10,7 @@ from anchorline.operators.joins import Lookup, nearest_lookups
 from anchorline.plans import ORACLE_SQL, QUERIES
 
 DATA, COPIES = "/root/testdata/sf0.001", 5
-NEAREST = ("q_audibility", "q_end_choice", "q_audibility_typed", "q_gate_bands", "q_snap_v1", "q_visual_attach",)
+NEAREST = ("q_audibility", "q_end_choice", "q_audibility_typed", "q_gate_bands", "q_snap_v1", "q_visual_attach", "q_near_cut_time",)
 
 
 @pytest.fixture(scope="module")
