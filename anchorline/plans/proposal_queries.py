@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anchorline.functions.text import PROPOSAL_STOPWORDS, VERIFY_STOPWORDS, overlap, tokens
-from anchorline.operators.folds import fold
 from anchorline.operators.joins import range_join
+from anchorline.operators.scans import first_close
 from anchorline.operators.windows import sliding_windows
 from anchorline.plans.registry import query
 from anchorline.plans.views import TL, cues, sql_tokens, table, timeline
@@ -37,26 +37,9 @@ def _named(spark: SparkSession, sf_dir: str, stopwords: Sequence[str]) -> DataFr
     return named.select("clip", "seq", F.col("start_ms").alias("t"), "audio_type", "w")
 
 
-def _same(x: Column, r: Column, near: tuple[float, int]) -> Column:
-    return (overlap(x["w"], r["w"]) >= near[0]) & (x["audio_type"] == r["audio_type"]) & (F.abs(x["t"] - r["t"]) <= near[1])
-
-
 def _deduped(df: DataFrame, close: tuple[float, int]) -> DataFrame:
     """(clip, seq, merged_into): rows compared with kept rows only, the first fitting one absorbs."""
-    item = "struct<seq:bigint,t:bigint,audio_type:string,w:array<string>>"
-    own = lambda r: F.struct(r["seq"], r["t"], r["audio_type"], r["w"])
-    fits = lambda s, r: F.filter(s["kept"], lambda x: _same(x, r, close))
-    # Rows come in order of time, so kept rows out of reach never matter again.
-    near = lambda s, r: F.filter(s["kept"], lambda x: r["t"] - x["t"] <= close[1])
-    out = fold(
-        df, ["clip"], ["t", "seq"],
-        {
-            "merged_into": ("bigint", lambda s, r: F.get(fits(s, r), F.lit(0))["seq"], lambda r: F.lit(None)),
-            "kept": (f"array<{item}>", lambda s, r: F.when(F.size(fits(s, r)) > 0, near(s, r)).otherwise(F.concat(near(s, r), F.array(own(r)))), lambda r: F.array(own(r))),
-        },
-        gap=("t", "t", close[1]),
-    )
-    return out.select("clip", "seq", "merged_into")
+    return first_close(df, ["clip", "audio_type"], "t", "seq", "w", close[1], close[0]).select("clip", "seq", "merged_into")
 
 
 @query(f"WITH RECURSIVE {_VERIFY}, {_dedup_sql('named', NEAR_DUPLICATE)} SELECT clip, seq, merged_into FROM r")

@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from anchorline.operators.joins import Lookup, nearest_lookups
+from anchorline.operators.scans import first_close, hits_apart
 from anchorline.plans import ORACLE_SQL, QUERIES
 
 DATA, COPIES = "/root/testdata/sf0.001", 5
-NEAREST = ("q_audibility", "q_end_choice", "q_audibility_typed", "q_gate_bands", "q_snap_v1", "q_visual_attach", "q_near_cut_time",)
+NEAREST = ("q_audibility", "q_end_choice", "q_audibility_typed", "q_gate_bands", "q_snap_v1", "q_visual_attach", "q_near_cut_time")
+SCANS = ("q_near_duplicate",)
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +60,23 @@ def test_nearest_lookups_against_all_pairs(spark):
     assert len(got) == 600
     for x in got:
         assert x.a == best(x, 9, lambda y: True) and x.b == (best(x, 4, lambda y: y.kind == 1) if x.even else None), x
+
+
+@pytest.mark.parametrize("name", SCANS)
+def test_scans_without_arrays(spark, copies, name):
+    """A timeline is never one array, and spans and hits make no pairs."""
+    folder, con = copies
+    df = QUERIES[name](spark, folder)
+    assert "collect_list" not in df._jdf.queryExecution().executedPlan().toString() and not pairs_by_time(df)
+    same_rows(df, name, con)
+
+
+def test_hits_apart_and_first_close(spark):
+    """One clip of 100,000 rows within one tolerance: every span takes the hits in its reach, every row meets the first kept one."""
+    spans = spark.createDataFrame([("a", 1, 5, 100), ("a", 2, 0, 9), ("a", 3, 200, 300), ("b", 4, 0, 50), ("a", 5, 60, 60)], "clip string, id long, lo long, hi long")
+    hits = spark.createDataFrame([("a", t) for t in (3, 5, 5, 14, 15, 60, 60, 65, 100)] + [("b", 51), (None, 7)], "clip string, t long")
+    got = {r.id: r.times for r in hits_apart(spans, hits, 10).collect()}
+    assert got == {1: [5, 15, 60, 100], 2: [3], 5: [60]}
+    rows = spark.range(100_000).select(F.lit("a").alias("k"), (F.col("id") % 1000).alias("t"), F.col("id").alias("n"), F.array(F.lit("w"), F.concat(F.lit("x"), (F.col("id") % 1000).cast("string"))).alias("w"))
+    out = first_close(rows, ["k"], "t", "n", "w", 10**6, 0.6)
+    assert out.where("merged_into IS NULL").count() == 1000 and out.where("merged_into != n % 1000").count() == 0
