@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from anchorline.operators.assign import assign_within
-from anchorline.operators.joins import range_join
+from anchorline.operators.assign import assign_in_order
 
 #: Columns that hold an event's onset and its end, first that isn't null wins.
 ONSETS, OFFSETS = ("onset_ms", "t_ms_f", "t_ms", "start_time_ms"), ("offset_ms", "t_end_ms_f", "end_ms", "end_time_ms")
@@ -49,8 +48,7 @@ def one_to_one(pred: DataFrame, gold: DataFrame, collar: float, by_class: bool =
     unit = F.concat_ws("\x01", "clip", F.coalesce("label", F.lit(""))) if by_class else F.col("clip").cast("string")
     p = shaped(pred).select("clip", unit.alias("unit"), F.col("id").alias("left"), F.col("onset").alias("p_t"), F.col("offset").alias("p_end"))
     g = shaped(gold).select(unit.alias("unit"), F.col("id").alias("right"), F.col("onset").alias("g_t"), F.col("offset").alias("g_end"))
-    pairs = range_join(p.select("unit", "left", "p_t"), g.select("unit", "right", "g_t"), ["unit"], "p_t", "g_t", collar)
-    chosen = assign_within(pairs.select("unit", "left", "right", F.abs(F.col("p_t") - F.col("g_t")).alias("cost"), "p_t", "g_t"), "unit", ("p_t", "g_t"))
+    chosen = assign_in_order(p.select("unit", "left", F.col("p_t").alias("at")), g.select("unit", "right", F.col("g_t").alias("at"), F.lit(0.0).alias("weight")), "unit", collar)
     found = chosen.join(p.drop("p_t"), ["unit", "left"]).join(g.drop("g_t"), ["unit", "right"])
     return found.select("clip", F.col("left").alias("pred"), F.col("right").alias("gold"), F.col("cost").alias("error"), F.abs(F.col("p_end") - F.col("g_end")).alias("offset_error"))
 

@@ -3,9 +3,11 @@
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from anchorline.operators import assign
 from anchorline.operators.joins import Lookup, nearest_lookups
 from anchorline.operators.scans import first_close, hits_apart
 from anchorline.plans import ORACLE_SQL, QUERIES
@@ -96,3 +98,28 @@ def test_more_than_999_in_a_day_or_hour(spark, tmp_path, name):
     same_rows(df, name, con)
     numbered = {"q_action_positions": F.max("last_pos"), "q_build_anchors": F.count("id"), "q_parse_cues": F.max("position")}
     assert df.agg(numbered[name]).first()[0] > 1000
+
+
+def test_matching_in_order_against_whole_matrices(monkeypatch):
+    """Number and total cost of the best assignment, also where choices are made again; few rows, ties, weights of both signs."""
+    rng = np.random.default_rng(5)
+    for k in range(300):
+        monkeypatch.setattr(assign, "STEPS", 16_000_000 if k % 2 else 7)
+        n, m, reach, share = int(rng.integers(0, 12)), int(rng.integers(0, 12)), int(rng.integers(0, 9)), (1.0, 0.01)[k % 2]
+        left, right = np.sort(rng.integers(0, 30, n)).astype(float), np.sort(rng.integers(0, 30, m)).astype(float)
+        weight = rng.random(m) - 0.5 if k % 3 else np.zeros(m)
+        to = assign.match_in_order(left, right, weight, reach, share)
+        apart = np.abs(left[:, None] - right[None, :])
+        whole = np.hstack([np.where(apart <= reach, share * apart + weight[None, :], 1e6), np.full((n, n), 1e5)])
+        best = [c for c in (whole[i, j] for i, j in enumerate(assign.solve(whole))) if c < 1e4] if n else []
+        found = [whole[i, j] for i, j in enumerate(to) if j >= 0]
+        assert len(set(to[to >= 0])) == len(found) == len(best) and abs(sum(found) - sum(best)) < 1e-6, (k, n, m)
+
+
+MATCHED = ("q_match_collar",)
+
+
+@pytest.mark.parametrize("name", MATCHED)
+def test_matching_moves_rows_not_pairs(spark, copies, name):
+    df = QUERIES[name](spark, copies[0])
+    assert not pairs_by_time(df) and df.count() > 0
