@@ -116,7 +116,7 @@ def test_matching_in_order_against_whole_matrices(monkeypatch):
         assert len(set(to[to >= 0])) == len(found) == len(best) and abs(sum(found) - sum(best)) < 1e-6, (k, n, m)
 
 
-MATCHED = ("q_match_collar", "q_eval_clips")
+MATCHED = ("q_match_collar", "q_eval_clips", "q_assign_exclusive")
 
 
 @pytest.mark.parametrize("name", MATCHED)
