@@ -14,7 +14,7 @@ from anchorline.plans import ORACLE_SQL, QUERIES
 
 DATA, COPIES = "/root/testdata/sf0.001", 5
 NEAREST = ("q_audibility", "q_end_choice", "q_audibility_typed", "q_gate_bands", "q_snap_v1", "q_visual_attach", "q_near_cut_time")
-SCANS = ("q_near_duplicate", "q_split_cues", "q_split_impacts", "q_merge_near", "q_snap_types")
+SCANS = ("q_near_duplicate", "q_split_cues", "q_split_impacts", "q_merge_near", "q_snap_types", "q_verify_pipeline")
 
 
 @pytest.fixture(scope="module")
